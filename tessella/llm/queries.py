@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from tessella.llm.decontam import OP5_SQL, op5_benchmark_decontamination
 from tessella.llm.packing import op9_best_fit_packing
+from tessella.llm.simhash import op2_simhash_near_duplicates
+from tessella.llm.substrings import op3_suffix_array_dedup
 from tessella.llm.tokens import op1_token_counts
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_simhash_near_duplicates": op2_simhash_near_duplicates,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_benchmark_decontamination": OP5_SQL,
+}

@@ -1,0 +1,55 @@
+"""Plain, slow answers to hold the operators against."""
+
+import numpy as np
+import xxhash
+
+
+def components(n, pairs):
+    label = list(range(n))
+
+    def root(i):
+        while label[i] != i:
+            label[i] = label[label[i]]
+            i = label[i]
+        return i
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        if a != b:
+            label[max(a, b)] = min(a, b)
+    return [root(i) for i in range(n)]
+
+
+def simhash(text):
+    words = [w for w in (text or "").encode().lower().split()]
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64(s, seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def near_groups(ids, fps, bits=3):
+    order = np.argsort(np.array(ids))
+    v = np.array(fps, np.uint64)[order]
+    pairs = [(i, i + 1 + j) for i in range(len(v)) for j in np.flatnonzero(np.bitwise_count(v[i] ^ v[i + 1 :]) <= bits)]
+    found = components(len(v), pairs)
+    ids = np.array(ids)[order]
+    return {int(ids[i]): int(ids[r]) for i, r in enumerate(found)}
+
+
+def repeated_bytes(docs, match=100):
+    """{id: (n_bytes, n_removed, n_spans, kept)} by a set of all strings seen so far."""
+    seen, out = set(), {}
+    for key in sorted(docs):
+        body = (docs[key] or "").encode()
+        gone = bytearray(len(body))
+        for i in range(len(body) - match + 1):
+            s = body[i : i + match]
+            if s in seen:
+                gone[i : i + match] = b"\1" * match
+            else:
+                seen.add(s)
+        kept = bytes(b for b, g in zip(body, gone) if not g)
+        out[key] = (len(body), sum(gone), len([1 for x in bytes(gone).split(b"\0") if x]), kept)
+    return out
