@@ -238,6 +238,18 @@ def near_duplicate_groups(docs: DataFrame, max_bits: int = MAX_BITS, id_col: str
     return own.join(known, "fp").select(id_col, "fp", "component_id")
 
 
+def keep_one_of_each(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """docs with one document of each group of near duplicates, the one of smallest doc_id.
+
+    All columns stay. Of rows that repeat that id one stays; rows with a null id, which
+    nothing tells apart, all stay.
+    """
+    groups = near_duplicate_groups(docs, max_bits)
+    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    one = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return one.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
 def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_duplicate_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
