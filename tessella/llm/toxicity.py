@@ -42,7 +42,7 @@ TOXIC_ROWS, OTHER_ROWS = 1500, 3000
 THRESHOLD = 0.7
 #: A feature is tried if so many toxic documents have it, that much more often than others.
 LEAST_ROWS, LEAST_LOG_ODDS = 3, 1.0
-L1, L2, COUNTERFACTUAL = 4e-4, 1e-5, 1.0
+L1, L2, COUNTERFACTUAL = 1e-4, 1e-5, 1.0
 ROUNDS = 400
 _REMEMBERED = 200_000
 _WORD = re.compile(r"\w+")
