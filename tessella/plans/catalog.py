@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tessella.plans import inventory  # noqa: F401  registers its queries
+# each module registers its queries
+from tessella.plans import dedup, gates, geometry, incremental, inventory, joins, ranking  # noqa: F401
 from tessella.plans.registry import ORACLES, QUERIES
 
 
