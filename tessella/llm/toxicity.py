@@ -128,9 +128,10 @@ def train(examples: list[tuple[set[int], int]], pairs: list[tuple[list[int], lis
     scol = np.array([c for x in swaps for c, _ in x], np.int64)
     sign = np.array([s for x in swaps for _, s in x])
     n = len(chosen)
-    largest = max((len(x) for x in own), default=0) + 1
-    # bounds on the curvature: of the loss by the longest row, of the penalty by its own rows
-    curvature = 0.25 * largest + L2 + (2 * counterfactual * max((len(x) for x in swaps), default=0))
+    # a bound on the curvature: of the loss by the rows' lengths, of the penalty by the swaps'
+    lengths = np.array([len(x) for x in own]) + 1
+    curvature = 0.25 * (share * lengths).sum() + L2 + 2 * counterfactual * (len(scol) / len(swaps) if swaps else 0)
+    step = 1 / curvature
     w, b = np.zeros(n), 0.0
     v, c, t = w.copy(), b, 1.0
     for _ in range(rounds):
@@ -140,7 +141,6 @@ def train(examples: list[tuple[set[int], int]], pairs: list[tuple[list[int], lis
         if swaps:
             apart = np.bincount(srow, sign * v[scol], len(swaps))
             grad += 2 * counterfactual / len(swaps) * np.bincount(scol, sign * apart[srow], n)
-        step = 4.0 / min(curvature, 40.0)
         new = v - step * grad
         new = np.sign(new) * np.maximum(np.abs(new) - step * L1, 0)
         b_new = c - step * err.sum()
