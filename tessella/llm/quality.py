@@ -27,16 +27,16 @@ RATE = 0.4
 #: Bound on the labelled rows of each class that are learned from.
 PER_CLASS = 1500
 THRESHOLD = 0.3
-_REMEMBERED = 200_000
+_REMEMBERED = 400_000
 _REPEATED = 0
 
 
 def word_features(word: str) -> list[int]:
-    """Buckets of a token: the word and its n-grams of 2 to 4 characters between word ends."""
+    """Buckets of a token: the word and its n-grams of 3 characters between word ends."""
     marked = f"<{word}>"
     # an n-gram of a very long token is one of its first or last 64 characters
     ends = marked if len(marked) <= 128 else marked[:64] + marked[-64:]
-    grams = {ends[i : i + n] for n in (2, 3, 4) for i in range(len(ends) - n + 1)}
+    grams = {ends[i : i + 3] for i in range(len(ends) - 2)}
     return [1 + xxhash.xxh32_intdigest(g) % (BUCKETS - 1) for g in (marked + "w", *grams)]
 
 
@@ -91,32 +91,28 @@ class Model:
 
     def scorer(self):
         """A function from a text to its score; remembers words within a bound."""
-        odds, memo = self.odds.astype(np.float64), {}
+        odds = self.odds.tolist()
         repeated_odds = odds[_REPEATED]
-
-        def learn(words):
-            if len(memo) > _REMEMBERED:
-                memo.clear()
-            for w in words:
-                f = word_features(w)
-                memo[w] = (float(odds[f].sum()), len(f))
+        sums: dict[str, float] = {}
+        numbers: dict[str, int] = {}
 
         def score(text: str) -> float:
             words = text.split()
             if not words:
                 return 0.5
             try:
-                values = [*map(memo.__getitem__, words)]
+                total = sum(map(sums.__getitem__, words))
             except KeyError:
-                learn(set(words).difference(memo))
-                try:
-                    values = [*map(memo.__getitem__, words)]
-                except KeyError:  # what was remembered has just been forgotten
-                    learn(set(words).difference(memo))
-                    values = [*map(memo.__getitem__, words)]
-            sums, numbers = map(sum, zip(*values))
+                if len(sums) > _REMEMBERED:
+                    sums.clear()
+                    numbers.clear()
+                for w in set(words).difference(sums):
+                    f = word_features(w)
+                    sums[w], numbers[w] = sum(map(odds.__getitem__, f)), len(f)
+                total = sum(map(sums.__getitem__, words))
+            number = sum(map(numbers.__getitem__, words))
             repeated = 20 * sum(map(str.__eq__, words, words[1:]))
-            z = (sums + repeated * repeated_odds) / (numbers + repeated)
+            z = (total + repeated * repeated_odds) / (number + repeated)
             return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
         return score
