@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +24,10 @@ from tessella.llm.common import byte_batches, signed, table
 MATCH = 100
 GRAM = 20
 REACH = MATCH - GRAM + 1
-#: Occurrences of one anchor beyond which its strings are dealt on by their own hash.
-HOT = 1500
+#: Occurrences of one anchor beyond which its strings are dealt on by what they share, ten
+#: neighbouring ones together; and those beyond which each string is dealt by itself.
+HOT, VERY_HOT = 1500, 100_000
+_TOGETHER = 10
 _ROWS_AT_ONCE = 20_000
 _WIDTH = REACH - 1 + MATCH
 _BASE = 0x9E3779B97F4A7C15
@@ -128,11 +131,13 @@ class _Strings:
         return out
 
     def same_bytes(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether strings are equal, eight bytes at a time (the last eight may overlap)."""
+        flat = self.data.ravel()
+        words = np.ndarray((len(flat) - 7,), np.uint64, flat, strides=(1,))
+        a, b = (self.row[i] * self.data.shape[1] + self.column[i] for i in (x, y))
         out = np.ones(len(x), bool)
-        for i in range(0, len(x), 50_000):
-            s = slice(i, i + 50_000)
-            k = np.arange(MATCH)
-            out[s] = (self.data[self.row[x[s]][:, None], self.column[x[s]][:, None] + k] == self.data[self.row[y[s]][:, None], self.column[y[s]][:, None] + k]).all(1)
+        for k in (*range(0, MATCH - 7, 8), MATCH - 8):
+            out &= words[a + k] == words[b + k]
         return out
 
 
@@ -164,18 +169,18 @@ def _mergesort(strings: _Strings, order: np.ndarray, first: np.ndarray, size: np
     return order
 
 
-def repeats(bucket: np.ndarray, contexts: list[bytes], left: np.ndarray, key: np.ndarray, anchor: np.ndarray, shares=None, share=None):
+def repeats(bucket: np.ndarray, contexts: list[bytes], left: np.ndarray, key: np.ndarray, anchor: np.ndarray):
     """Which rows hold strings that also stand earlier, and the bytes those cover.
 
     Rows are anchors in order of (bucket, key, anchor): contexts holds the bytes of all
-    strings of the anchor, left how many of them stand before it. Of a bucket that is one
-    of `shares` shares only the strings whose hash falls to `share` are looked at.
-    Returns row numbers with the covered start and end.
+    strings of the anchor that are looked at, left how many of them stand before it.
+    Returns row numbers, the covered start and end, and whether all strings are repeats.
     """
     m = len(contexts)
-    data = np.zeros((m, _WIDTH), np.uint8)
     sizes = np.array([len(c) for c in contexts], np.int64)
-    begin = REACH - 1 - left
+    furthest = int(left.max())
+    data = np.zeros((m, furthest + int((sizes - left).max())), np.uint8)
+    begin = furthest - left
     flat = np.frombuffer(b"".join(contexts), np.uint8)
     offset = np.cumsum(sizes) - sizes
     data[np.repeat(np.arange(m), sizes), np.arange(len(flat)) - np.repeat(offset - begin, sizes)] = flat
@@ -187,17 +192,13 @@ def repeats(bucket: np.ndarray, contexts: list[bytes], left: np.ndarray, key: np
     group = np.repeat(np.arange(len(new)), np.diff([*new, m]))
     group = group[row] * REACH + column
     order = np.argsort(group, kind="stable")
-    if shares is not None and (shares > 1).any():
-        order = order[(strings.whole % shares[row].astype(np.uint64) == share[row].astype(np.uint64))[order]]
-    if not len(order):
-        return order, order, order
     g = group[order]
     starts = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
     n = np.diff([*starts, len(order)])
     several = np.repeat(n > 1, n)
     order, n = order[several], n[n > 1]
     if not len(order):
-        return order, order, order
+        return order, order, order, order
     first, size = np.repeat(np.cumsum(n) - n, n), np.repeat(n, n)
     order = _mergesort(strings, order, first, size)
     same = np.concatenate([[False], (strings.whole[order[1:]] == strings.whole[order[:-1]]) & (first[1:] == first[:-1])])
@@ -212,24 +213,18 @@ def repeats(bucket: np.ndarray, contexts: list[bytes], left: np.ndarray, key: np
                 body = data[row[x], column[x] : column[x] + MATCH].tobytes()
                 head[k] = seen.setdefault(body, k)
     r, lead = row[order], row[order[head]]
-    place = anchor[r] - (REACH - 1 - column[order])
+    place = anchor[r] - (furthest - column[order])
     # one and the same place may be there twice if rows of the table are repeated
     late = (r != lead) & ((key[r] != key[lead]) | (anchor[r] != anchor[lead]))
     r, place = r[late], place[late]
     if not len(r):
-        return r, r, r
+        return r, r, r, r
     # the strings of one anchor all cover it, so they cover one stretch
     by = np.argsort(r, kind="stable")
     r, place = r[by], place[by]
     cut = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-    return r[cut], np.minimum.reduceat(place, cut), np.maximum.reduceat(place, cut) + MATCH
-
-
-def _string_shares(context: bytes, shares: int) -> list[int]:
-    data = np.frombuffer(context, np.uint8)[None, :]
-    h = _prefix_hashes(data)[0]
-    whole = h[MATCH:] - h[: len(h) - MATCH] * _POWERS[MATCH]
-    return np.unique(whole % np.uint64(shares)).tolist()
+    rows = r[cut]
+    return rows, np.minimum.reduceat(place, cut), np.maximum.reduceat(place, cut) + MATCH, np.diff([*cut, len(r)]) == number[rows]
 
 
 def _find_anchors(batches):
@@ -241,71 +236,95 @@ def _find_anchors(batches):
             yield pa.record_batch([pa.array(signed(gram)), batch.column("_key").take(pa.array(own)), pa.array(at.astype(np.int32))], ["gram", "_key", "at"])
 
 
-def _cut_contexts(hot: int):
+def _cut_contexts(hot: int, very_hot: int):
+    """For each listed anchor the bytes of its strings, under the bucket they are sorted in.
+
+    Strings of an anchor with more than `hot` occurrences go by ranges of neighbouring
+    ones, under a hash of the bytes that all strings of the range have in common: equal
+    strings have equal ones. Of equal contexts in one batch the first goes on alone; the
+    others are repeats of it already, and leave as spans (context null; start, end in
+    `at`, `left`).
+    """
+
     def cut(batches):
         import pyarrow as pa
 
         for whole in batches:
             for batch in byte_batches(whole, "_bytes", 2 << 20):
                 texts = [t or b"" for t in batch.column("_bytes").to_pylist()]
-                listed = batch.column("_listed")
-                own, gram, at, first, last = anchors(texts)
-                wanted = [dict(zip(x["at"].to_pylist(), x["n"].to_pylist())) for x in (_struct(listed, i) for i in range(len(texts)))]
-                rows = []
-                for i, (o, p) in enumerate(zip(own.tolist(), at.tolist())):
+                keys = batch.column("_key").to_pylist()
+                wanted = [dict(zip(x.values.field("at").to_pylist(), x.values.field("n").to_pylist())) for x in batch.column("_listed")]
+                out, leading = [], {}
+                for o, gram, p, s, e in zip(*(x.tolist() for x in anchors(texts))):
                     n = wanted[o].get(p)
                     if n is None:
                         continue
-                    context = texts[o][first[i] : last[i] + MATCH]
-                    shares = -(-n // hot)
-                    for share in _string_shares(context, shares) if shares > 1 else (0,):
-                        rows.append((i, shares, share, context))
-                i = np.array([r[0] for r in rows], np.int64)
-                columns = {
-                    "gram": pa.array(signed(gram[i])),
-                    "shares": pa.array([r[1] for r in rows], pa.int64()),
-                    "share": pa.array([r[2] for r in rows], pa.int64()),
-                    "_key": batch.column("_key").take(pa.array(own[i])),
-                    "at": pa.array(at[i].astype(np.int32)),
-                    "left": pa.array((at - first)[i].astype(np.int32)),
-                    "context": pa.array([r[3] for r in rows], pa.binary()),
-                }
-                yield pa.record_batch(list(columns.values()), list(columns))
+                    text, key = texts[o], keys[o]
+                    if n <= hot:
+                        out.append((gram, 0, key, p, p - s, text[s : e + MATCH]))
+                        continue
+                    width = _TOGETHER if n <= very_hot else 1
+                    low, high = p - e, p - s
+                    for q in range(low // width, high // width + 1):
+                        a, b = max(low, q * width), min(high, q * width + width - 1)
+                        part = xxhash.xxh64_intdigest(text[p - q * width : p - q * width - width + 1 + MATCH], q + 1)
+                        same = (gram, part, b, text[p - b : p - a + MATCH])
+                        first = leading.get(same)
+                        if first is None:
+                            leading[same] = (key, p)
+                        elif first != (key, p):
+                            leading[same] = min(first, (key, p))
+                            k, x = max(first, (key, p))
+                            out.append((xxhash.xxh64_intdigest(str(k)), 0, k, x - b, x - a + MATCH, None))
+                out += [(gram, part, key, p, b, context) for (gram, part, b, context), (key, p) in leading.items()]
+                long = lambda i: pa.array(signed(np.array([r[i] for r in out], np.uint64)))
+                rest = ((2, pa.int64()), (3, pa.int32()), (4, pa.int32()), (5, pa.binary()))
+                yield pa.record_batch([long(0), long(1), *(pa.array([r[i] for r in out], t) for i, t in rest)], ["gram", "part", "_key", "at", "left", "context"])
 
     return cut
 
 
-def _struct(lists, i):
-    values = lists[i].values
-    return {"at": values.field("at"), "n": values.field("n")}
-
-
 def _sort_buckets(batches):
     import pyarrow as pa
 
-    names = ("gram", "share", "_key", "at", "left", "shares")
+    names = ("gram", "part", "_key", "at", "left")
+
+    def spans(key, start, end):
+        return pa.record_batch([pa.array(key), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["_key", "start", "end"])
 
-    def done(held, contexts):
-        gram, share, key, at, left, shares = held
-        bucket = np.cumsum(np.concatenate([[0], (gram[1:] != gram[:-1]) | (share[1:] != share[:-1])]))
-        rows, start, end = repeats(bucket, contexts, left.astype(np.int64), key, at.astype(np.int64), shares, share)
-        return pa.record_batch([pa.array(key[rows]), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["_key", "start", "end"])
+    def found(held, contexts):
+        gram, part, key, at, left = held
+        bucket = np.cumsum(np.concatenate([[0], (gram[1:] != gram[:-1]) | (part[1:] != part[:-1])]))
+        return repeats(bucket, contexts, left.astype(np.int64), key, at.astype(np.int64))
 
-    held, contexts = [np.zeros(0, np.int64)] * 6, []
+    held, contexts = [np.zeros(0, np.int64)] * len(names), []
     for whole in batches:
         for batch in byte_batches(whole, "context", 1 << 20):
-            held = [np.concatenate([h, batch.column(c).to_numpy(zero_copy_only=False)]) for h, c in zip(held, names)]
-            contexts += batch.column("context").to_pylist()
+            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+            bare = batch.column("context").is_null().to_numpy(zero_copy_only=False)
+            if bare.any():
+                yield spans(now[2][bare], now[3][bare], now[4][bare])
+            held = [np.concatenate([h, x[~bare]]) for h, x in zip(held, now)]
+            contexts += [c for c in batch.column("context").to_pylist() if c is not None]
             if len(contexts) < _ROWS_AT_ONCE:
                 continue
             # the last bucket may go on
             cut = np.flatnonzero((held[0] != held[0][-1]) | (held[1] != held[1][-1]))
             if len(cut):
                 cut = cut[-1] + 1
-                yield done([h[:cut] for h in held], contexts[:cut])
+                rows, start, end, _ = found([h[:cut] for h in held], contexts[:cut])
+                yield spans(held[2][rows], start, end)
                 held, contexts = [h[cut:] for h in held], contexts[cut:]
+            elif len(contexts) >= 2 * _ROWS_AT_ONCE:
+                # a bucket that is large: what is a repeat throughout can lead no other row
+                rows, start, end, throughout = found(held, contexts)
+                yield spans(held[2][rows], start, end)
+                stay = np.ones(len(contexts), bool)
+                stay[rows[throughout]] = False
+                held, contexts = [h[stay] for h in held], [c for c, k in zip(contexts, stay.tolist()) if k]
     if contexts:
-        yield done(held, contexts)
+        rows, start, end, _ = found(held, contexts)
+        yield spans(held[2][rows], start, end)
 
 
 def merged(spans) -> list[tuple[int, int]]:
@@ -318,7 +337,7 @@ def merged(spans) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, very_hot: int = VERY_HOT) -> DataFrame:
     """Every row of docs as (id, _bytes, spans): what a string that also stands earlier covers.
 
     Earlier means a smaller id, or a smaller start in the same document. spans are byte
@@ -328,22 +347,23 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bytes have no span. Other columns are ignored; an empty table gives an empty result.
 
     Anchors that occur once, most of them, leave after a count that is combined before it
-    is shuffled. An anchor with more than `hot` occurrences is dealt on by the hash of the
-    strings themselves (equal ones share it), so no bucket grows with the corpus.
+    is shuffled. An anchor with more than `hot` occurrences is dealt on by what neighbouring
+    strings of it share, beyond `very_hot` by each string itself, and of equal contexts one
+    goes on from each batch, so no bucket grows with the corpus.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long"))
     keyed = docs.select(F.col(id_col), key.alias("_key"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_bytes"))
     found = keyed.select("_key", "_bytes").mapInArrow(_find_anchors, "gram long, _key long, at int")
     several = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     listed = found.join(several, "gram").groupBy("_key").agg(F.collect_list(F.struct("at", "n")).alias("_listed"))
-    contexts = keyed.join(listed, "_key").mapInArrow(_cut_contexts(hot), "gram long, shares long, share long, _key long, at int, left int, context binary")
-    dealt = contexts.repartition("gram", "share").sortWithinPartitions("gram", "share", "_key", "at")
+    contexts = keyed.join(listed, "_key").mapInArrow(_cut_contexts(hot, very_hot), "gram long, part long, _key long, at int, left int, context binary")
+    dealt = contexts.repartition("gram", "part").sortWithinPartitions("gram", "part", "_key", "at")
     spans = dealt.mapInArrow(_sort_buckets, "_key long, start int, end int")
     spans = spans.groupBy("_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return keyed.join(spans, "_key", "left").drop("_key")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, **limits) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept binary]) for every row of docs.
 
     kept is the text's bytes without its repeated spans; see repeated_spans().
@@ -368,7 +388,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.record_batch(columns + [pa.array(kept, pa.binary())] * with_text, [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text)
 
     schema = f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return repeated_spans(docs, id_col, text_col, hot).mapInArrow(finish, schema)
+    return repeated_spans(docs, id_col, text_col, **limits).mapInArrow(finish, schema)
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
