@@ -24,10 +24,10 @@ from tessella.llm.common import byte_batches, signed, table
 MATCH = 100
 GRAM = 20
 REACH = MATCH - GRAM + 1
-#: Occurrences of one anchor beyond which its strings are dealt on by what they share, ten
+#: Occurrences of one anchor beyond which its strings are dealt on by what they share, 27
 #: neighbouring ones together; and those beyond which each string is dealt by itself.
-HOT, VERY_HOT = 1500, 100_000
-_TOGETHER = 10
+HOT, VERY_HOT = 3000, 100_000
+_TOGETHER = 27
 _ROWS_AT_ONCE = 20_000
 _WIDTH = REACH - 1 + MATCH
 _BASE = 0x9E3779B97F4A7C15
@@ -259,20 +259,15 @@ def _cut_contexts(hot: int, very_hot: int):
                     n = wanted[o].get(p)
                     if n is None:
                         continue
-                    text, key = texts[o], keys[o]
-                    if n <= hot:
-                        out.append((gram, 0, key, p, p - s, text[s : e + MATCH]))
-                        continue
-                    width = _TOGETHER if n <= very_hot else 1
-                    low, high = p - e, p - s
+                    text, key, low, high = texts[o], keys[o], p - e, p - s
+                    width = REACH if n <= hot else _TOGETHER if n <= very_hot else 1
                     for q in range(low // width, high // width + 1):
-                        a, b = max(low, q * width), min(high, q * width + width - 1)
-                        part = xxhash.xxh64_intdigest(text[p - q * width : p - q * width - width + 1 + MATCH], q + 1)
+                        a, b, part = max(low, q * width), min(high, q * width + width - 1), 0
+                        if n > hot:
+                            part = xxhash.xxh64_intdigest(text[p - q * width : p - q * width - width + 1 + MATCH], q + 1)
                         same = (gram, part, b, text[p - b : p - a + MATCH])
-                        first = leading.get(same)
-                        if first is None:
-                            leading[same] = (key, p)
-                        elif first != (key, p):
+                        first = leading.setdefault(same, (key, p))
+                        if first != (key, p):
                             leading[same] = min(first, (key, p))
                             k, x = max(first, (key, p))
                             out.append((xxhash.xxh64_intdigest(str(k)), 0, k, x - b, x - a + MATCH, None))
@@ -293,9 +288,20 @@ def _sort_buckets(batches):
         return pa.record_batch([pa.array(key), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["_key", "start", "end"])
 
     def found(held, contexts):
+        """What repeats() returns; equal contexts of a bucket fold into their first before the sort."""
         gram, part, key, at, left = held
         bucket = np.cumsum(np.concatenate([[0], (gram[1:] != gram[:-1]) | (part[1:] != part[:-1])]))
-        return repeats(bucket, contexts, left.astype(np.int64), key, at.astype(np.int64))
+        seen: dict[tuple, int] = {}
+        lead = np.array([seen.setdefault(x, i) for i, x in enumerate(zip(bucket.tolist(), left.tolist(), contexts))])
+        own = lead == np.arange(len(lead))
+        keep = np.flatnonzero(own)
+        more = np.flatnonzero(~own)
+        more = more[(key[more] != key[lead[more]]) | (at[more] != at[lead[more]])]
+        rows, start, end, throughout = repeats(bucket[keep], [contexts[i] for i in keep.tolist()], left[keep].astype(np.int64), key[keep], at[keep].astype(np.int64))
+        begin = at[more].astype(np.int64) - left[more]
+        size = np.array([len(contexts[i]) for i in more.tolist()], np.int64)
+        join = lambda x, y: np.concatenate([x, y.astype(x.dtype)])
+        return join(keep[rows], more), join(start.astype(np.int64), begin), join(end.astype(np.int64), begin + size), join(throughout.astype(bool), np.ones(len(more), bool))
 
     held, contexts = [np.zeros(0, np.int64)] * len(names), []
     for whole in batches:
