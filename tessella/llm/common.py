@@ -18,12 +18,14 @@ def byte_batches(batch, name: str = "text", limit: int = 4 << 20):
     """Slices of an Arrow batch with about `limit` bytes in a string column each.
 
     Python and NumPy working sets follow the bytes of a slice, so they stay bounded
-    however many long texts Spark puts into one batch.
+    however many long texts Spark puts into one batch. After a batch, memory that Arrow
+    holds for reuse goes back to the system, as workers outlive their tasks.
     """
     n = batch.num_rows
     if not n:
         return
     column = batch.column(name)
+    import pyarrow as pa
     import pyarrow.compute as pc
 
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
@@ -34,6 +36,8 @@ def byte_batches(batch, name: str = "text", limit: int = 4 << 20):
             start, held = i, 0
         held += int(sizes[i]) + 64
     yield batch.slice(start, n - start)
+    if sizes.sum() > limit:
+        pa.default_memory_pool().release_unused()
 
 
 def signed(values):

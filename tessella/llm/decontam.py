@@ -118,21 +118,41 @@ def find_overlap(
     columns are ignored, except those of docs named in keep, which are passed on; they
     must not be named like the report's own. Empty tables are fine on both sides.
     """
+    rest = list(dict.fromkeys([id_col, *keep]))
+    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
+    return _overlap(docs, benchmark, lambda report: report, f"{fields}, {REPORT}", window, id_col, text_col, item_col, item_text_col, broadcast_bytes, keep)
+
+
+def _overlap(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    then,
+    schema,
+    window: int = WINDOW,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    broadcast_bytes: int = BROADCAST_BYTES,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """find_overlap() with `then` applied to each batch of the report; schema is its result's."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("binary").alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     rest = list(dict.fromkeys([id_col, *keep]))
-    wanted = docs.select(*rest, F.col(text_col).cast("binary").alias("_scanned"))
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
+    wanted = docs.select(*dict.fromkeys([*rest, text_col]))
     if size > broadcast_bytes:
-        return _by_join(wanted, items, window, rest)
+        return _by_join(wanted.withColumn("_scanned", F.col(text_col).cast("binary")), items, window, rest, then, schema)
     shared = docs.sparkSession.sparkContext.broadcast(NgramSet([(r["item"], r["text"]) for r in items.collect()], window))
 
     def scan(batches):
+        import pyarrow as pa
+
         grams = shared.value
         number = grams.vocabulary.get
         for whole in batches:
-            for batch in byte_batches(whole, "_scanned"):
-                lists = [words_of(t) for t in batch.column("_scanned").to_pylist()]
+            for batch in byte_batches(whole, text_col):
+                lists = [words_of(t) for t in batch.column(text_col).cast(pa.binary()).to_pylist()]
                 # a -1 after each document: no window crosses
                 ids = np.array([x for ws in lists for x in (*(number(w, -1) for w in ws), -1)], np.int64)
                 sizes = np.array([len(ws) for ws in lists])
@@ -142,9 +162,9 @@ def find_overlap(
                     i = int(np.searchsorted(first, p, "right")) - 1
                     hits[i].append((p - first[i], size))
                     found[i].update(of)
-                yield _report(batch, rest, [(n, hits.get(i, ()), found.get(i, ())) for i, n in enumerate(sizes.tolist())])
+                yield then(_report(batch, rest, [(n, hits.get(i, ()), found.get(i, ())) for i, n in enumerate(sizes.tolist())]))
 
-    return wanted.mapInArrow(scan, f"{fields}, {REPORT}")
+    return wanted.mapInArrow(scan, schema)
 
 
 def _report(batch, columns: list[str], rows: list):
@@ -165,7 +185,7 @@ def _report(batch, columns: list[str], rows: list):
     return pa.record_batch([*(batch.column(c) for c in columns), *arrays], [*columns, "n_words", "n_hit", "items", "spans"])
 
 
-def _by_join(wanted: DataFrame, items: DataFrame, window: int, rest: list[str]) -> DataFrame:
+def _by_join(wanted: DataFrame, items: DataFrame, window: int, rest: list[str], then, schema) -> DataFrame:
     """find_overlap() for a benchmark that is too large to broadcast.
 
     Windows of both sides meet in an equi-join on their words, so equality is exact and
@@ -203,14 +223,13 @@ def _by_join(wanted: DataFrame, items: DataFrame, window: int, rest: list[str])
         .agg(F.collect_set(F.struct("at", "size")).alias("_hits"), F.collect_set("item").alias("_items"))
     )
     joined = rows.join(found, "_row", "left").drop("_row")
-    fields = ", ".join(f"`{c}` {wanted.schema[c].dataType.simpleString()}" for c in rest)
 
     def report(batches):
         for batch in batches:
             lists = (batch.column(c).to_pylist() for c in ("_scanned", "_hits", "_items"))
-            yield _report(batch, rest, [(len(words_of(t)), [(h["at"], h["size"]) for h in hits or ()], items or ()) for t, hits, items in zip(*lists)])
+            yield then(_report(batch, rest, [(len(words_of(t)), [(h["at"], h["size"]) for h in hits or ()], items or ()) for t, hits, items in zip(*lists)]))
 
-    return joined.mapInArrow(report, f"{fields}, {REPORT}")
+    return joined.mapInArrow(report, schema)
 
 
 def cut_spans(text: bytes, spans: list[dict]) -> bytes:
@@ -228,24 +247,23 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, drop_share: float = DRO
     drop_share or more words are hit goes as a whole. All columns stay; a column n_chars
     of whole numbers follows the new text."""
     columns = docs.columns
-    found = find_overlap(docs, benchmark, text_col=text_col, keep=tuple(columns), **options)
-    kept = found.where(~((F.col("n_hit") > 0) & (F.col("n_hit") >= drop_share * F.col("n_words")))).select(*columns, "spans")
 
-    def cut(batches):
+    def cut(report):
         import pyarrow as pa
 
-        for batch in batches:
-            spans = batch.column("spans").to_pylist()
-            arrays = {c: batch.column(c) for c in columns}
-            if any(spans):
-                kind = arrays[text_col].type
-                texts = [cut_spans(t.encode(), s).decode("utf-8") if s else t for t, s in zip(arrays[text_col].to_pylist(), spans)]
-                arrays[text_col] = pa.array(texts, kind)
-                if "n_chars" in arrays and pa.types.is_integer(arrays["n_chars"].type):
-                    arrays["n_chars"] = pa.array([len(t) if s else n for t, s, n in zip(texts, spans, arrays["n_chars"].to_pylist())], arrays["n_chars"].type)
-            yield pa.record_batch(list(arrays.values()), list(arrays))
-
-    return kept.mapInArrow(cut, docs.schema)
+        sizes = zip(report.column("n_hit").to_pylist(), report.column("n_words").to_pylist())
+        batch = report.filter(pa.array([not (h and h >= drop_share * n) for h, n in sizes], pa.bool_()))
+        spans = batch.column("spans").to_pylist()
+        arrays = {c: batch.column(c) for c in columns}
+        if any(spans):
+            kind = arrays[text_col].type
+            texts = [cut_spans(t.encode(), s).decode("utf-8") if s else t for t, s in zip(arrays[text_col].to_pylist(), spans)]
+            arrays[text_col] = pa.array(texts, kind)
+            if "n_chars" in arrays and pa.types.is_integer(arrays["n_chars"].type):
+                arrays["n_chars"] = pa.array([len(t) if s else n for t, s, n in zip(texts, spans, arrays["n_chars"].to_pylist())], arrays["n_chars"].type)
+        return pa.record_batch(list(arrays.values()), list(arrays))
+
+    return _overlap(docs, benchmark, cut, docs.schema, text_col=text_col, keep=tuple(columns), **options)
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

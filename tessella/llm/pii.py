@@ -116,9 +116,9 @@ def _scanned(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
         entity = list_(struct([("kind", int32()), ("start", int32()), ("end", int32())]))
         near = list_(struct([("term", string()), ("start", int32()), ("end", int32()), ("entity", int64())]))
         for whole in batches:
-            for batch in byte_batches(whole, "_scanned"):
+            for batch in byte_batches(whole, text_col):
                 found, terms, content = [], [], []
-                for t in batch.column("_scanned").to_pylist():
+                for t in batch.column(text_col).to_pylist():
                     e = find_entities(t or "")
                     found.append([{"kind": k, "start": a, "end": b} for k, a, b in e])
                     terms.append(_terms(t, e) if e else [])
@@ -127,7 +127,7 @@ def _scanned(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
                 arrays = [pa.array(found, entity), pa.array(terms, near), pa.array(content, int64())]
                 yield pa.record_batch([*(batch.column(c) for c in keep), *arrays], [*keep, "entities", "near", "content"])
 
-    return docs.select(*keep, F.col(text_col).alias("_scanned")).mapInArrow(scan, f"{fields}, {_FOUND}")
+    return docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(scan, f"{fields}, {_FOUND}")
 
 
 def disclosed_terms(found: DataFrame, docs: DataFrame, text_col: str = "text", least_texts: int = LEAST_TEXTS, disclosed: float = DISCLOSED, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
@@ -212,15 +212,16 @@ def sanitise(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFrame
     def mask(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            arrays = {c: batch.column(c) for c in columns}
-            entities, terms = batch.column("entities").to_pylist(), batch.column("terms").to_pylist()
-            if any(entities):
-                texts = [masked(t, e, s) if e or s else t for t, e, s in zip(arrays[text_col].to_pylist(), entities, terms)]
-                arrays[text_col] = pa.array(texts, arrays[text_col].type)
-                if "n_chars" in arrays and pa.types.is_integer(arrays["n_chars"].type):
-                    arrays["n_chars"] = pa.array([len(t) if e else n for t, e, n in zip(texts, entities, arrays["n_chars"].to_pylist())], arrays["n_chars"].type)
-            yield pa.record_batch(list(arrays.values()), list(arrays))
+        for whole in batches:
+            for batch in byte_batches(whole, text_col):
+                arrays = {c: batch.column(c) for c in columns}
+                entities, terms = batch.column("entities").to_pylist(), batch.column("terms").to_pylist()
+                if any(entities):
+                    texts = [masked(t, e, s) if e or s else t for t, e, s in zip(arrays[text_col].to_pylist(), entities, terms)]
+                    arrays[text_col] = pa.array(texts, arrays[text_col].type)
+                    if "n_chars" in arrays and pa.types.is_integer(arrays["n_chars"].type):
+                        arrays["n_chars"] = pa.array([len(t) if e else n for t, e, n in zip(texts, entities, arrays["n_chars"].to_pylist())], arrays["n_chars"].type)
+                yield pa.record_batch(list(arrays.values()), list(arrays))
 
     return found.mapInArrow(mask, docs.schema)
 

@@ -158,11 +158,11 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), te
 
         of = shared.value.scorer()
         for whole in batches:
-            for batch in byte_batches(whole, "_scored"):
-                values = [of(t or "") for t in batch.column("_scored").to_pylist()]
+            for batch in byte_batches(whole, text_col):
+                values = [of(t or "") for t in batch.column(text_col).to_pylist()]
                 yield pa.record_batch([*(batch.column(c) for c in keep), pa.array(values, pa.float64())], [*keep, "score"])
 
-    return docs.select(*keep, F.col(text_col).alias("_scored")).mapInArrow(compute, f"{fields}, score double")
+    return docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(compute, f"{fields}, score double")
 
 
 def held_out(id_col: str = "doc_id"):
