@@ -243,7 +243,7 @@ def _cut_contexts(hot: int, very_hot: int):
     ones, under a hash of the bytes that all strings of the range have in common: equal
     strings have equal ones. Of equal contexts in one batch the first goes on alone; the
     others are repeats of it already, and leave as spans (context null; start, end in
-    `at`, `left`).
+    `at`, `left`). A text that is the copy of an earlier one leaves as one span.
     """
 
     def cut(batches):
@@ -255,6 +255,10 @@ def _cut_contexts(hot: int, very_hot: int):
                 keys = batch.column("_key").to_pylist()
                 wanted = [dict(zip(x.values.field("at").to_pylist(), x.values.field("n").to_pylist())) for x in batch.column("_listed")]
                 out, leading = [], {}
+                for o, copies in enumerate(batch.column("_copies").to_pylist()):
+                    if copies and hashlib.sha256(texts[o]).digest() in copies:
+                        out.append((xxhash.xxh64_intdigest(str(keys[o])), 0, keys[o], 0, len(texts[o]), None))
+                        texts[o] = b""
                 for o, gram, p, s, e in zip(*(x.tolist() for x in anchors(texts))):
                     n = wanted[o].get(p)
                     if n is None:
@@ -353,7 +357,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bytes have no span. Other columns are ignored; an empty table gives an empty result.
 
     Anchors that occur once, most of them, leave after a count that is combined before it
-    is shuffled. An anchor with more than `hot` occurrences is dealt on by what neighbouring
+    is shuffled. Of whole texts that are equal the first alone is searched: each string of
+    the others stands in it. An anchor with more than `hot` occurrences is dealt on by what neighbouring
     strings of it share, beyond `very_hot` by each string itself, and of equal contexts one
     goes on from each batch, so no bucket grows with the corpus.
     """
@@ -362,7 +367,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = keyed.select("_key", "_bytes").mapInArrow(_find_anchors, "gram long, _key long, at int")
     several = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     listed = found.join(several, "gram").groupBy("_key").agg(F.collect_list(F.struct("at", "n")).alias("_listed"))
-    contexts = keyed.join(listed, "_key").mapInArrow(_cut_contexts(hot, very_hot), "gram long, part long, _key long, at int, left int, context binary")
+    whole = keyed.where(F.octet_length("_bytes") >= MATCH).select("_key", F.unhex(F.sha2("_bytes", 256)).alias("_digest"))
+    firsts = whole.groupBy("_digest").agg(F.min("_key").alias("_first"), F.max("_key").alias("_last")).where("_first < _last")
+    copies = whole.join(firsts, "_digest").where("_key > _first").groupBy("_key").agg(F.collect_set("_digest").alias("_copies"))
+    # with the id, so that this side and the last join's are dealt out once for both
+    contexts = keyed.join(listed.join(copies, "_key", "left"), "_key").mapInArrow(_cut_contexts(hot, very_hot), "gram long, part long, _key long, at int, left int, context binary")
     dealt = contexts.repartition("gram", "part").sortWithinPartitions("gram", "part", "_key", "at")
     spans = dealt.mapInArrow(_sort_buckets, "_key long, start int, end int")
     spans = spans.groupBy("_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
