@@ -29,19 +29,23 @@ REACH = MATCH - GRAM + 1
 HOT, VERY_HOT = 3000, 100_000
 _TOGETHER = 27
 _ROWS_AT_ONCE = 20_000
+#: Bytes of texts whose anchors are found together.
+_CHUNK = 1 << 16
 _WIDTH = REACH - 1 + MATCH
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = np.array([pow(_BASE, k, 1 << 64) for k in range(_WIDTH + 1)], np.uint64)
+_INVERSES = np.array([pow(_BASE, -k, 1 << 64) for k in range(_WIDTH + 1)], np.uint64)
 _BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
     """A mixed 64-bit hash of the GRAM bytes from each position on."""
     parts, size, h = [], 1, _BYTES[data]
-    for bit in range(GRAM.bit_length()):
-        if GRAM >> bit & 1:
+    while size <= GRAM:
+        if GRAM & size:
             parts.append((size, h))
-        h = h[:-size] * _POWERS[size] + h[size:]
+        if 2 * size <= GRAM:
+            h = h[:-size] * _POWERS[size] + h[size:]
         size *= 2
     n = len(data) - GRAM + 1
     out, at = np.zeros(n, np.uint64), 0
@@ -61,6 +65,15 @@ def anchors(texts: list[bytes]):
     start from `first` to `last`.
     """
     sizes = np.array([len(t) for t in texts], np.int64)
+    # chunks of whole texts whose arrays stay in a core's cache
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // _CHUNK)) + 1
+    edges = [0, *cuts.tolist(), len(texts)]
+    found = [_anchors_of(texts[a:b], sizes[a:b], a) for a, b in zip(edges[:-1], edges[1:])]
+    return tuple(map(np.concatenate, zip(*found)))
+
+
+def _anchors_of(texts: list[bytes], sizes: np.ndarray, number: int):
+    """What anchors() returns for a chunk whose first text has that number."""
     starts = np.concatenate([[0], np.cumsum(sizes)])
     none = np.zeros(0, np.int64)
     if starts[-1] < MATCH:
@@ -75,25 +88,31 @@ def anchors(texts: list[bytes]):
     rest = REACH - size
     if rest:
         low = np.minimum(low[: len(low) - rest], low[rest:])
-    at = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    owner = np.repeat(np.arange(len(texts)), sizes)[: len(at)]
-    inside = np.arange(len(at)) + MATCH <= starts[1:][owner]
-    new = np.empty(len(at), bool)
+    new = np.empty(len(low), bool)
     new[0] = True
-    new[1:] = (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])
-    new &= inside
+    # keys are all different, as places are
+    np.not_equal(low[1:], low[:-1], out=new[1:])
+    new[starts[starts < len(low)]] = True
     first = np.flatnonzero(new)
+    own = np.searchsorted(starts, first, "right") - 1
+    inside = first + MATCH <= starts[own + 1]
+    first, own = first[inside], own[inside]
+    at = (low[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     # a run ends before the next one, or where its text has no further string
-    last = np.minimum(np.concatenate([first[1:], [len(at)]]) - 1, starts[1:][owner[first]] - MATCH)
-    own, begin = owner[first], starts[owner[first]]
-    return own, h[at[first]], at[first] - begin, first - begin, last - begin
+    last = np.minimum(np.concatenate([first[1:], [len(low)]]) - 1, starts[own + 1] - MATCH)
+    begin = starts[own]
+    return own + number, h[at], at - begin, first - begin, last - begin
 
 
 def _prefix_hashes(rows: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(rows), rows.shape[1] + 1), np.uint64)
-    base = np.uint64(_BASE)
-    for k in range(rows.shape[1]):
-        out[:, k + 1] = out[:, k] * base + rows[:, k] + np.uint64(1)
+    """Of each row's first k bytes b, the sum of (b[i] + 1) * base ** (k - 1 - i); base is odd, so it has an inverse."""
+    m, n = rows.shape
+    out = np.zeros((m, n + 1), np.uint64)
+    for k in range(0, m, 256):  # rows that stay in a core's cache
+        body = out[k : k + 256, 1:]
+        np.multiply(rows[k : k + 256].astype(np.uint64) + np.uint64(1), _INVERSES[:n], out=body)
+        np.cumsum(body, axis=1, out=body)
+        body *= _POWERS[:n]
     return out
 
 
