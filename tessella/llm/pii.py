@@ -2,7 +2,7 @@
 
 Patterns find entities (addresses, numbers). Information-theoretic sanitisation then asks
 how much the words around an entity give away: with c(t, e) the different texts in which
-term t stands near entity e and c(t) the documents that hold t anywhere in the corpus,
+term t stands near entity e and c(t) the different texts that hold t anywhere in the corpus,
 the posterior P(e | t) = c(t, e) / c(t) is what a reader of t alone would know of e (its
 pointwise mutual information with e is that posterior over e's prior). Terms whose
 posterior reaches a threshold, with enough different texts behind it, are disclosed
@@ -12,7 +12,6 @@ beside that entity and are masked there as well.
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -79,6 +78,12 @@ def find_entities(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def content_key(text: str) -> int:
+    """A hash of the text as a signed 64-bit number."""
+    key = xxhash.xxh64_intdigest(text.encode())
+    return key - (1 << 64) if key >> 63 else key
+
+
 def entity_key(kind: int, value: str) -> int:
     """The same for the same entity however it is written, as a signed 64-bit number."""
     plain = value.lower() if kind == 0 else re.sub(r"[^0-9.]" if kind == 1 else r"[^0-9]", "", value)
@@ -122,8 +127,7 @@ def _scanned(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
                     e = find_entities(t or "")
                     found.append([{"kind": k, "start": a, "end": b} for k, a, b in e])
                     terms.append(_terms(t, e) if e else [])
-                    h = xxhash.xxh64_intdigest(t.encode()) if e else 0
-                    content.append(h - (1 << 64) if h >> 63 else h)
+                    content.append(content_key(t) if e else 0)
                 arrays = [pa.array(found, entity), pa.array(terms, near), pa.array(content, int64())]
                 yield pa.record_batch([*(batch.column(c) for c in keep), *arrays], [*keep, "entities", "near", "content"])
 
@@ -134,8 +138,8 @@ def disclosed_terms(found: DataFrame, docs: DataFrame, text_col: str = "text", l
     """(term, entity, posterior) of the terms that give an entity away.
 
     found: rows with `near` and `content`; docs: the whole corpus, in which the terms are
-    counted. Copies of one text count once near an entity, so they disclose nothing by
-    themselves. Counts are combined before they are shuffled.
+    counted. Copies of one text count once, near an entity and in the corpus, so they
+    neither disclose a term by themselves nor hide one. They are folded before the shuffle.
     """
     near = found.select("content", F.explode("near").alias("n")).select("content", "n.term", "n.entity")
     pairs = written(
@@ -153,16 +157,21 @@ def disclosed_terms(found: DataFrame, docs: DataFrame, text_col: str = "text", l
             return
         for whole in batches:
             for batch in byte_batches(whole, "text"):
-                counts: Counter = Counter()
+                held: dict[int, list[str]] = {}
                 for t in batch.column("text").to_pylist():
-                    words = set(_WORD.findall(t.lower())) if t else ()
-                    counts.update(words if only is None else only.intersection(words))
-                yield pa.record_batch([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["term", "n"])
-
-    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "term string, n long")
+                    key = content_key(t) if t else None
+                    if key is None or key in held:
+                        continue
+                    words = set(map(str.lower, set(_WORD.findall(t))))
+                    held[key] = list(words if only is None else only.intersection(words))
+                held = {k: w for k, w in held.items() if w}
+                yield pa.record_batch([pa.array(held.keys(), pa.int64()), pa.array(held.values(), pa.list_(pa.string()))], ["content", "terms"])
+
+    texts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "content long, terms array<string>").dropDuplicates(["content"])
+    counts = texts.select(F.explode("terms").alias("term"))
     if not few:
         counts = counts.join(terms, "term", "left_semi")
-    totals = counts.groupBy("term").agg(F.sum("n").alias("n"))
+    totals = counts.groupBy("term").agg(F.count("*").alias("n"))
     posterior = F.col("texts") / F.col("n")
     return pairs.join(totals, "term").select("term", "entity", posterior.alias("posterior")).where(F.col("posterior") >= disclosed)
 
