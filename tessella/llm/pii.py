@@ -5,13 +5,16 @@ how much the words around an entity give away: with c(t, e) the different texts
 term t stands near entity e and c(t) the different texts that hold t anywhere in the corpus,
 the posterior P(e | t) = c(t, e) / c(t) is what a reader of t alone would know of e (its
 pointwise mutual information with e is that posterior over e's prior). Terms whose
-posterior reaches a threshold, with enough different texts behind it, are disclosed
-beside that entity and are masked there as well.
+posterior reaches a threshold, with enough different texts behind it, are disclosed:
+they are masked beside that entity or, as in the query and the pipeline, everywhere.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
+from itertools import accumulate, chain
 
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -107,7 +110,8 @@ def _terms(text: str, entities: list[tuple[int, int, int]]) -> list[dict]:
     return out
 
 
-_FOUND = "entities array<struct<kind: int, start: int, end: int>>, near array<struct<term: string, start: int, end: int, entity: long>>, content long"
+_ENTITIES = "entities array<struct<kind: int, start: int, end: int>>"
+_FOUND = f"{_ENTITIES}, near array<struct<term: string, start: int, end: int, entity: long>>, content long"
 
 
 def _scanned(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
@@ -131,7 +135,7 @@ def _scanned(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
                 arrays = [pa.array(found, entity), pa.array(terms, near), pa.array(content, int64())]
                 yield pa.record_batch([*(batch.column(c) for c in keep), *arrays], [*keep, "entities", "near", "content"])
 
-    return docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(scan, f"{fields}, {_FOUND}")
+    return docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(scan, ", ".join(filter(None, [fields, _FOUND])))
 
 
 def disclosed_terms(found: DataFrame, docs: DataFrame, text_col: str = "text", least_texts: int = LEAST_TEXTS, disclosed: float = DISCLOSED, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
@@ -139,7 +143,8 @@ def disclosed_terms(found: DataFrame, docs: DataFrame, text_col: str = "text", l
 
     found: rows with `near` and `content`; docs: the whole corpus, in which the terms are
     counted. Copies of one text count once, near an entity and in the corpus, so they
-    neither disclose a term by themselves nor hide one. They are folded before the shuffle.
+    neither disclose a term by themselves nor hide one. Copies are folded, and then counts
+    combined, before they are shuffled.
     """
     near = found.select("content", F.explode("near").alias("n")).select("content", "n.term", "n.entity")
     pairs = written(
@@ -168,23 +173,84 @@ def disclosed_terms(found: DataFrame, docs: DataFrame, text_col: str = "text", l
                 yield pa.record_batch([pa.array(held.keys(), pa.int64()), pa.array(held.values(), pa.list_(pa.string()))], ["content", "terms"])
 
     texts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "content long, terms array<string>").dropDuplicates(["content"])
-    counts = texts.select(F.explode("terms").alias("term"))
+
+    def combine(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            counts = Counter(chain.from_iterable(batch.column("terms").to_pylist()))
+            yield pa.record_batch([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["term", "n"])
+
+    counts = texts.select("terms").mapInArrow(combine, "term string, n long")
     if not few:
         counts = counts.join(terms, "term", "left_semi")
-    totals = counts.groupBy("term").agg(F.count("*").alias("n"))
+    totals = counts.groupBy("term").agg(F.sum("n").alias("n"))
     posterior = F.col("texts") / F.col("n")
     return pairs.join(totals, "term").select("term", "entity", posterior.alias("posterior")).where(F.col("posterior") >= disclosed)
 
 
-def find_personal_data(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), **thresholds) -> DataFrame:
+def _places(text: str, entities: list[tuple[int, int, int]], only: frozenset | None) -> list[dict]:
+    """The words of the whole text that are part of no entity: those among `only`, or all."""
+    if only is not None and only.isdisjoint(map(str.lower, set(_WORD.findall(text)))):
+        return []
+    taken = sorted((a, b) for _, a, b in entities)
+    starts, ends = [a for a, _ in taken], [0, *accumulate((b for _, b in taken), max)]
+    words = ((m[0].lower(), *m.span()) for m in _WORD.finditer(text))
+    # of the entities that start before a word ends, none ends after the word starts
+    return [{"term": w, "start": a, "end": b} for w, a, b in words if (only is None or w in only) and ends[bisect_left(starts, b)] <= a]
+
+
+def _everywhere(docs: DataFrame, text_col: str, keep: list[str], flagged: DataFrame, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
+    """(keep..., entities, terms) with every occurrence of a flagged term in every row.
+
+    Terms are at most NEAR_CHARS characters long, so broadcast_terms bounds the broadcast
+    set; a larger set is joined with the words of all texts.
+    """
+    terms = written(flagged.select("term").distinct(), "flagged-terms")
+    few = terms.count() <= broadcast_terms
+    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(r["term"] for r in terms.collect()) if few else None)
+    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+
+    def scan(batches):
+        import pyarrow as pa
+        from pyarrow import int32, list_, string, struct
+
+        entity = list_(struct([("kind", int32()), ("start", int32()), ("end", int32())]))
+        place = list_(struct([("term", string()), ("start", int32()), ("end", int32())]))
+        only = wanted.value
+        for whole in batches:
+            for batch in byte_batches(whole, text_col):
+                found, places = [], []
+                for t in batch.column(text_col).to_pylist():
+                    e = find_entities(t or "")
+                    found.append([{"kind": k, "start": a, "end": b} for k, a, b in e])
+                    places.append(_places(t or "", e, only))
+                yield pa.record_batch([*(batch.column(c) for c in keep), pa.array(found, entity), pa.array(places, place)], [*keep, "entities", "_places"])
+
+    span = "array<struct<start: int, end: int>>"
+    found = docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(scan, f"{fields}, {_ENTITIES}, _places array<struct<term: string, start: int, end: int>>")
+    if few:
+        return found.select(*keep, "entities", F.transform("_places", lambda w: F.struct(w["start"], w["end"])).cast(span).alias("terms"))
+    found = written(found.withColumn("_row", F.monotonically_increasing_id()), "words")
+    words = found.select("_row", F.explode("_places").alias("w")).select("_row", "w.*").join(terms, "term", "left_semi")
+    spans = words.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
+    return found.join(spans, "_row", "left").select(*keep, "entities", F.coalesce("terms", F.array().cast(span)).alias("terms"))
+
+
+def find_personal_data(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), everywhere: bool = False, **thresholds) -> DataFrame:
     """(keep..., entities, terms) for every row of docs.
 
     entities: struct(kind index into KINDS, start, end), by kind and start; terms: struct(
-    start, end) of disclosed terms, sorted. Positions are code points, end exclusive. Null
+    start, end) of disclosed terms, sorted: with `everywhere` each occurrence in any row,
+    else those beside an entity that they disclose. Positions are code points, end exclusive. Null
     text counts as empty. Rows with null or repeated ids are handled one by one; columns
     of docs that keep doesn't name are ignored, and keep must not name the result's own.
     """
     keep = list(keep)
+    if everywhere:
+        near = written(_scanned(docs, text_col, []).where(F.size("near") > 0), "near")
+        flagged = written(disclosed_terms(near, docs, text_col, **thresholds), "disclosed-terms")
+        return _everywhere(docs, text_col, keep, flagged, thresholds.get("broadcast_terms", BROADCAST_TERMS))
     found = written(_scanned(docs, text_col, keep).withColumn("_row", F.monotonically_increasing_id()), "entities")
     flagged = written(disclosed_terms(found, docs, text_col, **thresholds), "disclosed-terms")
     near = found.where(F.size("near") > 0).select("_row", F.explode("near").alias("n")).select("_row", "n.*")
@@ -225,18 +291,18 @@ def sanitise(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFrame
             for batch in byte_batches(whole, text_col):
                 arrays = {c: batch.column(c) for c in columns}
                 entities, terms = batch.column("entities").to_pylist(), batch.column("terms").to_pylist()
-                if any(entities):
+                if any(entities) or any(terms):
                     texts = [masked(t, e, s) if e or s else t for t, e, s in zip(arrays[text_col].to_pylist(), entities, terms)]
                     arrays[text_col] = pa.array(texts, arrays[text_col].type)
                     if "n_chars" in arrays and pa.types.is_integer(arrays["n_chars"].type):
-                        arrays["n_chars"] = pa.array([len(t) if e else n for t, e, n in zip(texts, entities, arrays["n_chars"].to_pylist())], arrays["n_chars"].type)
+                        arrays["n_chars"] = pa.array([len(t) if e or s else n for t, e, s, n in zip(texts, entities, terms, arrays["n_chars"].to_pylist())], arrays["n_chars"].type)
                 yield pa.record_batch(list(arrays.values()), list(arrays))
 
     return found.mapInArrow(mask, docs.schema)
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_personal_data(table(spark, sf_dir, "documents"))
+    found = find_personal_data(table(spark, sf_dir, "documents"), everywhere=True)
     kinds = F.array(*map(F.lit, KINDS))
     count = lambda k: F.size(F.filter("entities", lambda e: e["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
     base = F.transform("entities", lambda e: F.concat_ws(":", F.get(kinds, e["kind"]), e["start"], e["end"]))

@@ -1,5 +1,7 @@
 """Inputs on which the operators once did less than the whole job."""
 
+import re
+
 import numpy as np
 import pytest
 from tessella.llm import pii
@@ -18,3 +20,27 @@ def test_copies_hide_no_disclosed_term(spark, broadcast_terms):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     found = pii.disclosed_terms(pii._scanned(docs, "text", ["doc_id"]), docs, broadcast_terms=broadcast_terms)
     assert [r.posterior for r in found.collect() if r.term == "zorblax"] == [0.75]  # 3 of 4 different texts
+
+
+@pytest.mark.parametrize("broadcast_terms", [100, 0])
+def test_disclosed_terms_are_masked_everywhere(spark, broadcast_terms):
+    texts = [f"mail zorblax {prose(3)} bob@x.example.com {prose(60)} Zorblax again, zorblax@y.example.org {i}" for i in range(4)]
+    texts += ["only ZORBLAX here, zorblaxes too", None]
+    docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    kinds = {"everywhere": True, "broadcast_terms": broadcast_terms}
+    for r in pii.find_personal_data(docs, **kinds).collect():
+        want = [m.span() for m in re.finditer(r"\bzorblax\b(?!@)", texts[r.doc_id] or "", re.I)]
+        assert [(t.start, t.end) for t in r.terms if texts[r.doc_id][t.start : t.end].lower() == "zorblax"] == want
+    clean = {r.doc_id: r for r in pii.sanitise(docs, **kinds).collect()}
+    assert clean[4].text == "only [TERM] here, zorblaxes too" and clean[5].text is None
+    assert all(r.n_chars == len(r.text or "") and not re.search(r"\bzorblax\b", r.text or "", re.I) for r in clean.values())
+
+
+def test_query_and_pipeline_mask_everywhere(spark, tmp_path):
+    import corpus_pipeline
+
+    texts = [f"mail zorblax {prose(3)} bob@x.example.com {prose(60)} {i}" for i in range(4)] + ["only ZORBLAX here"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.spans for r in pii.op7_personal_data(spark, str(tmp_path)).collect()}[4] == "term:5:12"
+    assert {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, str(tmp_path)).collect()}[4] == "only [TERM] here"
