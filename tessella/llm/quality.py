@@ -10,7 +10,9 @@ of numbers, so scoring needs one number for each hashed feature.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -21,6 +23,8 @@ from tessella.llm.common import byte_batches, table
 from tessella.llm.labelled import remainder, sample_ids, sampled
 
 BUCKETS = 1 << 17
+#: Lengths of the character n-grams of a token.
+NGRAMS = (2, 3, 4)
 DIMENSIONS = 10
 EPOCHS = 8
 RATE = 0.4
@@ -28,28 +32,42 @@ RATE = 0.4
 PER_CLASS = 1500
 THRESHOLD = 0.3
 _REMEMBERED = 400_000
+_REMEMBERED_GRAMS = 200_000
 _REPEATED = 0
 
 
-def word_features(word: str) -> list[int]:
-    """Buckets of a token: the word and its n-grams of 3 characters between word ends."""
+def _bucket(feature: str) -> int:
+    return 1 + xxhash.xxh32_intdigest(feature) % (BUCKETS - 1)
+
+
+class _Grams(dict):
+    """Buckets of n-grams, remembered within a bound."""
+
+    def __missing__(self, gram: str) -> int:
+        if len(self) > _REMEMBERED_GRAMS:
+            self.clear()
+        self[gram] = found = _bucket(gram)
+        return found
+
+
+_GRAMS = _Grams()
+
+
+def word_features(word: str):
+    """Buckets of a token: the word and all its n-grams of 2 to 4 characters between word
+    ends, each as often as it occurs. They stream, as a token may be a whole text."""
     marked = f"<{word}>"
-    # an n-gram of a very long token is one of its first or last 64 characters
-    ends = marked if len(marked) <= 128 else marked[:64] + marked[-64:]
-    grams = {ends[i : i + 3] for i in range(len(ends) - 2)}
-    return [1 + xxhash.xxh32_intdigest(g) % (BUCKETS - 1) for g in (marked + "w", *grams)]
+    grams = (marked[i : i + n] for n in NGRAMS for i in range(len(marked) - n + 1))
+    return chain((_bucket(marked + "w"),), map(_GRAMS.__getitem__, grams))
 
 
 def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and how often each occurs."""
     words = text.split()
     counts: dict[int, int] = {}
-    memo: dict[str, list[int]] = {}
-    for w in words:
-        if w not in memo:
-            memo[w] = word_features(w)
-        for f in memo[w]:
-            counts[f] = counts.get(f, 0) + 1
+    for w, times in Counter(words).items():
+        for f in word_features(w):
+            counts[f] = counts.get(f, 0) + times
     repeated = sum(a == b for a, b in zip(words, words[1:]))
     if repeated:
         counts[_REPEATED] = 20 * repeated
@@ -107,8 +125,9 @@ class Model:
                     sums.clear()
                     numbers.clear()
                 for w in set(words).difference(sums):
-                    f = word_features(w)
-                    sums[w], numbers[w] = sum(map(odds.__getitem__, f)), len(f)
+                    sums[w] = sum(map(odds.__getitem__, word_features(w)))
+                    # the word itself and its n-grams between word ends
+                    numbers[w] = 1 + sum(max(0, len(w) + 3 - n) for n in NGRAMS)
                 total = sum(map(sums.__getitem__, words))
             number = sum(map(numbers.__getitem__, words))
             repeated = 20 * sum(map(str.__eq__, words, words[1:]))

@@ -1,10 +1,12 @@
 """Inputs on which the operators once did less than the whole job."""
 
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
-from tessella.llm import pii
+import xxhash
+from tessella.llm import pii, quality
 
 RNG = np.random.default_rng(12)
 
@@ -44,3 +46,15 @@ def test_query_and_pipeline_mask_everywhere(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id: r.spans for r in pii.op7_personal_data(spark, str(tmp_path)).collect()}[4] == "term:5:12"
     assert {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, str(tmp_path)).collect()}[4] == "only [TERM] here"
+
+
+def test_every_ngram_of_a_token_counts():
+    word = "ab" * 5 + "".join(chr(0x4E00 + int(i)) for i in RNG.integers(0, 500, 300)) + "ab" * 5
+    marked = f"<{word}>"
+    want = Counter(1 + xxhash.xxh32_intdigest(g) % (quality.BUCKETS - 1) for g in [marked + "w", *(marked[i : i + n] for n in (2, 3, 4) for i in range(len(marked) - n + 1))])
+    found = dict(zip(*(x.tolist() for x in quality.document_features(f"{word} x {word}"))))
+    other = Counter(quality.word_features("x"))
+    assert found == {f: 2 * want[f] + other[f] for f in want | other}
+    odds = RNG.normal(0, 5, quality.BUCKETS).astype(np.float32)
+    z = sum(float(odds[f]) * n for f, n in found.items()) / sum(found.values())
+    assert np.isclose(quality.Model(odds).scorer()(f"{word} x {word}"), 1 / (1 + np.exp(-z)))
