@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-import sys
-
 from pyspark.sql import DataFrame, SparkSession
 
-#: Spark's LongType range as Python sees it.
-LONG_MASK = (1 << 64) - 1
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -45,5 +40,61 @@ def signed(values):
     return values.view("int64")
 
 
-def log(message: str) -> None:
-    print(message, file=sys.stderr)
+def fresh(columns, *names: str) -> list[str]:
+    """The names, each with underscores in front until it clashes with none of columns.
+
+    Spark compares names without case, so this does too.
+    """
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def schema_of(df: DataFrame, columns) -> str:
+    """The named columns of df as DDL text."""
+    return ", ".join(f"`{c.replace('`', '``')}` {df.schema[c].dataType.simpleString()}" for c in columns)
+
+
+def whole_number_ids(df: DataFrame, id_col: str) -> None:
+    """Operators that order documents by their id need one that fits Spark's long."""
+    kind = df.schema[id_col].dataType.typeName()
+    if kind not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"column {id_col} must hold whole numbers to order documents by, not {kind}")
+
+
+class Memo(dict):
+    """What a function gave for strings, within a bound on the bytes held.
+
+    `fill` maps a list of new strings to their values. Strings longer than LONG are
+    worked out each time and not held, as a text without blanks is one such string.
+    """
+
+    LONG = 200
+
+    def __init__(self, fill, limit: int = 48 << 20, each: int = 150):
+        super().__init__()
+        self.fill, self.limit, self.each, self.held = fill, limit, each, 0
+
+    def of(self, keys: list):
+        """The values of all keys, in order."""
+        try:
+            return [*map(self.__getitem__, keys)]
+        except KeyError:
+            pass
+        if self.held > self.limit:
+            self.clear()
+            self.held = 0
+        new = list(dict.fromkeys(k for k in keys if k not in self))
+        self.update(zip(new, self.fill(new)))
+        out = [*map(self.__getitem__, keys)]
+        for k in new:
+            if len(k) > self.LONG:
+                del self[k]
+            else:
+                self.held += 2 * len(k) + self.each
+        return out

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-import xxhash
+from pyspark.sql import functions as F
 from tessella.llm import pii, quality
 
 RNG = np.random.default_rng(12)
@@ -48,13 +48,89 @@ def test_query_and_pipeline_mask_everywhere(spark, tmp_path):
     assert {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, str(tmp_path)).collect()}[4] == "only [TERM] here"
 
 
-def test_every_ngram_of_a_token_counts():
+M = (1 << 64) - 1
+
+
+def bucket(h):
+    h = ((h ^ h >> 32) * 0xD6E8FEB86659FD93) & M
+    return 1 + (h ^ h >> 29) % (quality.BUCKETS - 1)
+
+
+def features(word):
+    """The buckets of a word, one feature after another, in Python's numbers."""
+    marked = [ord(c) for c in f"<{word}>"]
+    for n in (2, 3, 4):
+        for i in range(len(marked) - n + 1):
+            h = 0
+            for c in marked[i : i + n]:
+                h = (h * 0x9E3779B97F4A7C15 + c) & M
+            yield bucket((h + n) & M)
+    whole = 0
+    for i, c in enumerate(marked):
+        h = ((c + 1) * 0xD6E8FEB86659FD93 + (len(marked) - i) * 0x9E3779B97F4A7C15) & M
+        h = ((h ^ h >> 31) * 0xD6E8FEB86659FD93) & M
+        whole = (whole + (h ^ h >> 30)) & M
+    yield bucket(whole)
+
+
+@pytest.mark.parametrize("at_once", [7, 1 << 18])
+def test_every_ngram_of_a_token_counts(monkeypatch, at_once):
+    monkeypatch.setattr(quality, "_AT_ONCE", at_once)
     word = "ab" * 5 + "".join(chr(0x4E00 + int(i)) for i in RNG.integers(0, 500, 300)) + "ab" * 5
-    marked = f"<{word}>"
-    want = Counter(1 + xxhash.xxh32_intdigest(g) % (quality.BUCKETS - 1) for g in [marked + "w", *(marked[i : i + n] for n in (2, 3, 4) for i in range(len(marked) - n + 1))])
-    found = dict(zip(*(x.tolist() for x in quality.document_features(f"{word} x {word}"))))
-    other = Counter(quality.word_features("x"))
-    assert found == {f: 2 * want[f] + other[f] for f in want | other}
+    text = f"{word} x {word} \U0001F600y {word} x x x"
+    want = Counter()
+    for w in text.split():
+        want.update(features(w))
+    want[0] = 2  # x x x
+    found = dict(zip(*(x.tolist() for x in quality.document_features(text))))
+    assert found == want
     odds = RNG.normal(0, 5, quality.BUCKETS).astype(np.float32)
     z = sum(float(odds[f]) * n for f, n in found.items()) / sum(found.values())
-    assert np.isclose(quality.Model(odds).scorer()(f"{word} x {word}"), 1 / (1 + np.exp(-z)))
+    assert np.isclose(quality.Model(odds).scorer()(text), 1 / (1 + np.exp(-z)))
+
+
+def test_middles_of_long_tokens_matter():
+    ends = "".join(chr(0x4E00 + int(i)) for i in RNG.integers(0, 500, 200))
+    a, b = (ends + "".join(chr(c + int(i)) for i in RNG.integers(0, 500, 600)) + ends for c in (0x5000, 0x6000))
+    fa, fb = (set(quality.document_features(t)[0].tolist()) for t in (a, b))
+    assert len(fa & fb) < 0.6 * len(fa)
+    odds = np.zeros(quality.BUCKETS, np.float32)
+    odds[sorted(fa - fb)] = 5
+    score = quality.Model(odds).scorer()
+    assert score(a) > 0.9 > 0.5 == score(b)
+
+
+def test_one_epoch_is_plain_gradient_descent():
+    examples = []
+    for k in range(12):
+        ids = np.unique(RNG.integers(1, 40, 6)).astype(np.int32)
+        examples.append((ids, RNG.integers(1, 4, len(ids)).astype(np.float32), k % 3 % 2))
+    found = quality.train(examples, epochs=1, rate=0.3, seed=5)
+    rng = np.random.default_rng(5)
+    vectors = rng.uniform(-0.1, 0.1, (quality.BUCKETS, 10))
+    layer = np.zeros((10, 2))
+    share = Counter(y for *_, y in examples)
+    for done, i in enumerate(rng.permutation(12)):
+        ids, counts, y = examples[i]
+        x = np.zeros(quality.BUCKETS)
+        x[ids] = counts / counts.sum()
+        hidden = x @ vectors
+        p = np.exp(hidden @ layer)
+        p = p / p.sum() - np.eye(2)[y]
+        step = 0.3 * 12 / (2 * share[y]) * (1 - done / 12)
+        back = layer @ p
+        layer = layer - step * np.outer(hidden, p)
+        vectors = vectors - 10 * step * np.outer(x, back)
+    assert np.allclose(found, vectors @ (layer[:, 1] - layer[:, 0]), atol=1e-5)
+
+
+def test_labels_of_one_class_or_none(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert [r.score for r in quality.score(docs, quality.fit(docs, none, quality.held_out())).collect()] == [0.5] * 3
+    good = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, 1)], "doc_id long, quality int")
+    assert {r.doc_id: r.score > 0.5 for r in quality.score(docs, quality.fit(docs, good, quality.held_out())).collect()}[1]
+    both = good.unionByName(good.withColumn("quality", F.lit(0)))  # contradicting labels: 0 counts
+    assert {r.doc_id: r.score < 0.5 for r in quality.score(docs, quality.fit(docs, both, quality.held_out())).collect()}[1]
+    empty = docs.limit(0)
+    assert quality.keep_good(empty, good).count() == 0
