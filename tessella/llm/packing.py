@@ -114,6 +114,8 @@ def tokenized(
     A document is its text's ids and then end_id; only one longer than capacity is cut.
     ids are little-endian unsigned 32-bit numbers. Null text counts as empty: one piece
     of one id. Every row of docs gets its own pieces, also rows with null or equal ids.
+    Very long texts are encoded whole. Other columns are ignored; an empty table gives an
+    empty result.
     """
     path = tokenizer or public_tokenizers.path(WORD_BPE)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -193,4 +195,11 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for every piece of every row of documents: where it goes.
+
+    Null and empty texts are one piece of the end id. A text of more than 2048 tokens is
+    cut, whole. Rows that repeat a doc_id, or have none, each get their own pieces and
+    places; of pieces of equal length, doc_id and number any may take any of their places.
+    An empty table gives an empty result. Columns but doc_id and text are not read.
+    """
     return pack_documents(table(spark, sf_dir, "documents"))

@@ -12,6 +12,7 @@ import hashlib
 import json
 import os
 import re
+import unicodedata
 from array import array
 
 import public_tokenizers
@@ -19,12 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm.common import byte_batches, table
-from tessella.sources.shared import new_path
+from tessella.sources.shared import new_path, written
 
 BYTE_BPE = "byte_bpe_50k.json"
 
-#: Entries that one worker remembers; beyond it half of them are forgotten.
-REMEMBERED = 300_000
+#: Bytes of chunks and ids that one worker remembers; beyond it half of them are forgotten.
+#: Chunks of more than LONG characters are not remembered.
+REMEMBERED_BYTES, LONG = 48 << 20, 200
 _ANY_SPACE = re.compile(r"\s*\S+|\s+")
 #: White space other than a blank or line feed, and what only Python counts as such.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -60,6 +62,7 @@ class ChunkEncoder:
         self.keep_ids = keep_ids
         self.young: dict = {}
         self.old: dict = {}
+        self.held = 0
 
     def encode(self, text: str) -> list:
         """For each chunk its number of ids, or its ids as little-endian uint32 bytes."""
@@ -67,10 +70,16 @@ class ChunkEncoder:
         try:
             return [*map(self.young.__getitem__, keys)]
         except KeyError:
-            if len(self.young) > REMEMBERED:
-                self.old, self.young = self.young, {}
-            self._add(set(keys).difference(self.young))
-            return [*map(self.young.__getitem__, keys)]
+            pass
+        young = self.young
+        if self.held > REMEMBERED_BYTES // 2:
+            self.old, self.young, self.held = young, (young := {}), 0
+        self._add(set(keys).difference(young))
+        out = [*map(young.__getitem__, keys)]
+        for k in [k for k in self.added if len(k) > LONG]:
+            del young[k]
+        self.held += sum(2 * len(k) + 150 for k in self.added if len(k) <= LONG)
+        return out
 
     def _chunks(self, text: str) -> list[str]:
         if self.kind == "separate":
@@ -97,19 +106,28 @@ class ChunkEncoder:
                 young[k] = young[parts[0]] + young[parts[1]]
             elif parts[0] != k:
                 young[k] = young[parts[0]]
+        self.added = {*missing, *new}
 
     def _parts(self, k: str) -> tuple:
         """A chunk without what surely is a token boundary or falls to lower case anyhow."""
         if self.kind == "whole":
             return (k,)
         tail = ()
-        if k[-1:] in (".", ",") and k[-2:-1].isalpha():
+        if k[-1:] in (".", ",") and _one_letter(k[-2:-1]):
             k, tail = k[:-1], (k[-1],)
         if self.kind == "separate" and "A" <= k[:1] <= "Z" and k[1:2].isascii():
             k = k[0].lower() + k[1:]
         return (k, *tail)
 
 
+@functools.lru_cache(4096)
+def _one_letter(c: str) -> bool:
+    """Whether c is a letter and stays one under NFC and in lower case; a stop or comma
+    after it is then a token of its own whatever the file's normaliser does."""
+    plain = unicodedata.normalize("NFC", c).lower()
+    return len(plain) == 1 and c.isalpha() and plain.isalpha()
+
+
 def _kind(spec: dict) -> str:
     if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or re.search(r"\s", t["content"]) for t in spec["added_tokens"]):
         return "whole"
@@ -153,24 +171,27 @@ def token_counts(
 
     The normalisation of a content is the strongest one that cannot change a count:
     null counts as empty. The cache table is Parquet with (digest, version, n_tokens);
-    it is made where it is missing and appended to, by one writer at a time. Copies of
-    a text fold into one before they are shuffled (map-side), so a text that a third
-    of all rows share is encoded once and never gathered; the join back to the
-    documents is a plain equi-join that AQE may split.
-
-    Null and empty texts have 0 bytes and 0 tokens. Rows with null or repeated ids
-    are counted like any other; an empty table gives an empty result. Other columns
-    of docs are ignored, whatever their names.
+    it is made where it is missing and appended to, by one writer at a time. If writers
+    that raced or were retried left a digest twice, it is read once. Only digests are
+    held against an existing cache; texts move for its misses alone. Copies of a text
+    fold into one before they are shuffled (map-side), so a text that a third of all rows
+    share is encoded once and never gathered; the join back to the documents is a plain
+    equi-join that AQE may split.
+
+    Null and empty texts have 0 bytes and 0 tokens; very long ones are counted whole. Rows
+    with null or repeated ids are counted like any other; an empty table gives an empty
+    result. Other columns of docs are ignored, whatever their names.
     """
     spark = docs.sparkSession
     path = tokenizer or public_tokenizers.path(BYTE_BPE)
     version = tokenizer_version(path)
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col), text.alias("_text"), F.unhex(F.sha2(text, 256)).alias("_digest"))
-    known = _cache(spark, cache)
-    missing = keyed.select("_digest", "_text").dropDuplicates(["_digest"])
+    known = _counts(spark, cache, version)
+    wanted = keyed.select("_digest", "_text")
     if known is not None:
-        missing = missing.join(known.where(F.col("version") == version).select(F.col("digest").alias("_digest")), "_digest", "left_anti")
+        wanted = wanted.join(keyed.select("_digest").distinct().join(known, "_digest", "left_anti"), "_digest", "left_semi")
+    missing = wanted.dropDuplicates(["_digest"])
 
     def encode(batches):
         import pyarrow as pa
@@ -187,23 +208,33 @@ def token_counts(
         .write.mode("append")
         .parquet(cache)
     )
-    counts = _cache(spark, cache).where(F.col("version") == version).select(F.col("digest").alias("_digest"), "n_tokens")
+    counts = _counts(spark, cache, version)
     return (
-        keyed.select(id_col, "_digest", F.octet_length("_text").cast("long").alias("n_bytes"))
+        keyed.select(F.col(id_col), "_digest", F.octet_length("_text").cast("long").alias("n_bytes"))
         .join(counts, "_digest")
         .select(id_col, "n_bytes", "n_tokens")
     )
 
 
-def _cache(spark: SparkSession, path: str) -> DataFrame | None:
+def _counts(spark: SparkSession, path: str, version: str) -> DataFrame | None:
+    """(_digest, n_tokens) of the cache for one tokenizer, each digest once; None without a cache."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         return None
-    return spark.read.schema("digest binary, version string, n_tokens long").parquet(path)
+    held = spark.read.schema("digest binary, version string, n_tokens long").parquet(path)
+    held = held.where(F.col("version") == version).select(F.col("digest").alias("_digest"), "n_tokens")
+    # an aggregate beside the join would keep AQE from splitting it, so only where it is needed
+    twice = not held.groupBy("_digest").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    return written(held.dropDuplicates(["_digest"]), "token-counts") if twice else held
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's tokens; starts from an empty cache, so nothing is spared by earlier runs."""
+    """Every document's tokens; starts from an empty cache, so nothing is spared by earlier runs.
+
+    doc_id, n_bytes, n_tokens and over_limit for every row of documents, as token_counts()
+    defines them for null, empty and very long texts, repeated rows and an empty table. A
+    count of exactly 1024 is not over the limit. Columns but doc_id and text are not read.
+    """
     counts = token_counts(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
