@@ -101,10 +101,9 @@ class Scanner:
         self.rules = rules
         self.queries = [trigram_query(r.expression) for r in rules]
         wanted = sorted(set().union(*map(_trigrams, self.queries)))
-        if len(wanted) > 254:
-            raise ValueError("too many trigrams for one index; split the rules")
         self.number = {t: i + 1 for i, t in enumerate(wanted)}
-        self.lookup = np.zeros(1 << 24, np.uint8)
+        # 16 million places hold any number of trigrams; two bytes each while that is enough
+        self.lookup = np.zeros(1 << 24, np.uint16 if len(wanted) < 1 << 16 else np.uint32)
         for t, i in self.number.items():
             self.lookup[int.from_bytes(t, "big")] = i
         self.text_forms = [re.compile(r.expression, re.ASCII) for r in rules]
@@ -153,8 +152,11 @@ def _at_least(rule: Rule) -> str:
 
 def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, spans array<struct<kind, start, end>>) for every row of docs, by start and then
-    by the rules' order. Positions are code points, end exclusive. Null text is empty; rows
-    with null or repeated ids are scanned like any other; other columns are ignored."""
+    by the rules' order. Positions are code points, end exclusive. Null text is empty, and
+    empty texts have no span; very long texts are scanned whole, 1 MB of texts at a time
+    unless one is longer. Spans of different rules may overlap. Rows with null or repeated
+    ids are scanned like any other; other columns are ignored, whatever their names; an
+    empty table gives an empty result."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def scan(batches):
@@ -173,6 +175,11 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256 and spans for every row of documents.
+
+    scan_secrets() says what null, empty and very long texts, repeated rows and an empty
+    table give; a document without a secret has 0s, the digest of nothing and no spans.
+    """
     found = scan_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in BASE_RULES]))
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
