@@ -1,9 +1,10 @@
 """Benchmark decontamination by a hash set of the benchmark's word n-grams.
 
-The set of normalised n-grams is broadcast while its size is within a stated bound;
-documents are scanned once and nothing is shuffled. Beyond the bound the document
-windows are joined to the n-grams by their hashes instead. Either way each hit is
-verified by comparing the words before it counts.
+The hashes of all normalised n-grams of the benchmark are broadcast as one sorted array,
+with the words behind them; documents are scanned, and each hit is verified by comparing
+the words before it counts. What is broadcast at a time is bounded: a larger benchmark is
+dealt to several sets of that size, and the documents are scanned once for each. Only hits
+leave a scan, so the windows of documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -15,12 +16,14 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import byte_batches, table
+from tessella.llm.common import byte_batches, fresh, schema_of, table
 from tessella.sources.shared import written
 
 WINDOW = 10
-#: Bytes of benchmark text up to which its n-grams are broadcast.
-BROADCAST_BYTES = 2 << 20
+#: Bytes of benchmark text whose n-grams are broadcast at a time. A set takes about five times its text.
+BROADCAST_BYTES = 16 << 20
+#: Bytes of normalised text in the pieces that a larger benchmark is dealt by.
+PIECE_BYTES = 64 << 10
 #: Share of hit words from which a document goes; below it the hit spans are cut out.
 DROP_SHARE = 0.5
 #: Bytes to the same in lower case, or to a blank where they belong to no word.
@@ -28,6 +31,7 @@ _WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256)
 )
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_REMEMBERED = 50_000
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -36,66 +40,113 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class NgramSet:
-    """The windows of all items, by length: sorted hashes, words to verify, items."""
+    """The windows of items: for each length sorted hashes, and where their words and items are.
+
+    A window is `window` consecutive words of an item, or all words of a shorter one.
+    """
 
     def __init__(self, items: list[tuple[object, bytes | None]], window: int = WINDOW):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
-        grams: dict[tuple, set] = defaultdict(set)
+        names: dict[object, int] = {}
+        number = self.vocabulary.setdefault
+        ids, sizes, owners = [np.zeros(0, np.int32)], [], []
         for item, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(text)]
-            size = min(window, len(ids))
-            for i in range(len(ids) - size + 1 if size else 0):
-                grams[tuple(ids[i : i + size])].add(item)
-        by_size = defaultdict(list)
-        for g, of in grams.items():
-            by_size[len(g)].append((g, sorted(x for x in of if x is not None)))
+            found = [number(w, len(self.vocabulary)) for w in words_of(text)]
+            if found:
+                ids.append(np.array(found, np.int32))
+                sizes.append(len(found))
+                owners.append(names.setdefault(item, len(names)))
+        self.names = list(names)
+        self.words = np.concatenate(ids)
+        length, owner = np.array(sizes, np.int64), np.array(owners, np.int32)
+        start = np.cumsum(length) - length
         self.by_size = {}
-        for size, found in sorted(by_size.items()):
-            words = np.array([g for g, _ in found], np.int64)
-            hashes = rolling(words.ravel(), size)[::size] if size > 1 else rolling(words.ravel(), 1)
-            order = np.argsort(hashes, kind="stable")
-            self.by_size[size] = (hashes[order], words[order], [found[i][1] for i in order])
+        for size in sorted({min(window, n) for n in sizes}):
+            own = np.flatnonzero(length >= size if size == window else length == size)
+            n = length[own] - size + 1
+            at = np.repeat(start[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            who = np.repeat(owner[own], n)
+            hashes = rolling(self.words, size, at)
+            order = np.lexsort((who, hashes))
+            hashes, at, who = hashes[order], at[order], who[order]
+            # a window that an item has several times stands there once
+            again = np.flatnonzero((hashes[1:] == hashes[:-1]) & (who[1:] == who[:-1])) + 1
+            keep = np.ones(len(at), bool)
+            keep[again[self._equal(at[again], self.words, at[again - 1], size)]] = False
+            self.by_size[size] = (hashes[keep], at[keep], who[keep])
+        self._items: dict = {}
+
+    def _equal(self, at, ids, other, size):
+        same = np.ones(len(at), bool)
+        for k in range(size):
+            same &= self.words[at + k] == ids[other + k]
+        return same
 
     def matches(self, ids: np.ndarray):
-        """(position, size, items) of every window of `ids` (-1: a word of no item) in the set."""
+        """(positions, size, entries) for each window length: where windows of `ids` (-1: a
+        word of no item) are in the set, and the entry that each equals."""
         inside = ids >= 0
         run = np.concatenate([[0], np.cumsum(~inside)])
-        for size, (hashes, words, items) in self.by_size.items():
+        for size, (hashes, start, _) in self.by_size.items():
             if len(ids) < size:
                 continue
             at = np.flatnonzero(run[size:] == run[: len(run) - size])
-            if not len(at):
-                continue
             h = rolling(ids, size, at)
             k = np.searchsorted(hashes, h)
             k[k == len(hashes)] = 0
             hit = hashes[k] == h
             at, k, h = at[hit], k[hit], h[hit]
-            while len(at):  # further entries of an equal hash are tried as well
-                same = (words[k] == ids[at[:, None] + np.arange(size)]).all(1)
-                for p, j in zip(at[same].tolist(), k[same].tolist()):
-                    yield p, size, items[j]
+            while len(at):
+                same = self._equal(start[k], ids, at, size)
+                if same.any():
+                    yield at[same], size, k[same]
+                # hashes that collided: the entries that follow are tried as well
                 k = k + 1
                 more = ~same & (k < len(hashes))
                 at, k, h = at[more], k[more], h[more]
                 more = hashes[k] == h
                 at, k, h = at[more], k[more], h[more]
 
-
-def rolling(ids: np.ndarray, size: int, at: np.ndarray | None = None) -> np.ndarray:
-    """64-bit polynomial hashes of the windows of `size` words (at the given positions)."""
-    v = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-    at = np.arange(len(ids) - size + 1) if at is None else at
+    def items_of(self, size: int, entry: int) -> list:
+        """The items that have the window of that entry; a null item is left out."""
+        found = self._items.get((size, entry))
+        if found is None:
+            if len(self._items) > _REMEMBERED:
+                self._items.clear()
+            hashes, at, who = self.by_size[size]
+            a, b = np.searchsorted(hashes, hashes[entry], "left"), np.searchsorted(hashes, hashes[entry], "right")
+            same = self._equal(at[a:b], self.words, np.full(b - a, at[entry]), size)
+            found = [x for x in (self.names[i] for i in who[a:b][same].tolist()) if x is not None]
+            self._items[size, entry] = found
+        return found
+
+    def scan(self, texts: list[bytes | None]) -> list[tuple[int, list, set]]:
+        """For each text its number of words, (position, size) of its hits, and their items."""
+        number = self.vocabulary.get
+        lists = [words_of(t) for t in texts]
+        sizes = np.array([len(ws) for ws in lists], np.int64)
+        # a -1 after each text: no window crosses
+        ids = np.fromiter((x for ws in lists for x in (*(number(w, -1) for w in ws), -1)), np.int32, int(sizes.sum()) + len(lists))
+        first = np.concatenate([[0], np.cumsum(sizes + 1)])
+        out = [(n, [], set()) for n in sizes.tolist()]
+        for at, size, entry in self.matches(ids):
+            of = np.searchsorted(first, at, "right") - 1
+            for i, p in zip(of.tolist(), (at - first[of]).tolist()):
+                out[i][1].append((p, size))
+            for i, k in set(zip(of.tolist(), entry.tolist())):
+                out[i][2].update(self.items_of(size, k))
+        return out
+
+
+def rolling(ids: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
+    """64-bit polynomial hashes of the windows of `size` words at the given positions."""
     h = np.zeros(len(at), np.uint64)
     for k in range(size):
-        h = h * _BASE + v[at + k]
+        h = h * _BASE + (ids[at + k].astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(31))
 
 
-REPORT = "n_words long, n_hit long, items array<string>, spans array<struct<start: int, end: int>>"
-
-
 def find_overlap(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -112,161 +163,182 @@ def find_overlap(
     A window is `window` consecutive words of an item, or all of a shorter item's words.
     n_hit counts the words inside any occurrence of a window, items lists the items with
     occurring windows (as strings, sorted), spans the maximal runs of hit words (word
-    positions, end exclusive). Null and empty texts have no words; items without words
-    have no window; the windows of items with a null id hit, but are listed under no
-    item. Repeated rows of docs are reported one by one, repeated items count once. Other
-    columns are ignored, except those of docs named in keep, which are passed on; they
-    must not be named like the report's own. Empty tables are fine on both sides.
+    positions, end exclusive; runs that touch are one). Null and empty texts have no words;
+    items without words have no window; the windows of items with a null id hit, but are
+    listed under no item. Very long texts and items are taken whole. Repeated rows of docs
+    are reported one by one, repeated items count once. Other columns are ignored, except
+    those of docs named in keep, which are passed on; they must not be named like the
+    report's own. Empty tables are fine on both sides.
     """
-    rest = list(dict.fromkeys([id_col, *keep]))
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
-    return _overlap(docs, benchmark, lambda report: report, f"{fields}, {REPORT}", window, id_col, text_col, item_col, item_text_col, broadcast_bytes, keep)
+    columns = list(dict.fromkeys([id_col, *keep]))
 
+    def then(batch, texts, rows):
+        import pyarrow as pa
 
-def _overlap(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    then,
-    schema,
-    window: int = WINDOW,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-    broadcast_bytes: int = BROADCAST_BYTES,
-    keep: tuple[str, ...] = (),
-) -> DataFrame:
-    """find_overlap() with `then` applied to each batch of the report; schema is its result's."""
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+        values = [(n, sum(b - a for a, b in spans), sorted(items), [{"start": a, "end": b} for a, b in spans]) for n, spans, items in rows]
+        arrays = [pa.array([v[k] for v in values], kind) for k, kind in enumerate(kinds)]
+        return pa.record_batch([*batch.columns, *arrays], [*columns, "n_words", "n_hit", "items", "spans"])
+
+    schema = f"{schema_of(docs, columns)}, n_words long, n_hit long, items array<string>, spans array<struct<start: int, end: int>>"
+    return _overlap(docs, benchmark, columns, then, schema, window, text_col, item_col, item_text_col, broadcast_bytes)
+
+
+def _overlap(docs, benchmark, columns, then, schema, window=WINDOW, text_col="text", item_col="item_id", item_text_col="text", broadcast_bytes=BROADCAST_BYTES) -> DataFrame:
+    """then(batch of columns, texts, rows of (words, spans, items)) for every batch of docs."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("binary").alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    rest = list(dict.fromkeys([id_col, *keep]))
-    wanted = docs.select(*dict.fromkeys([*rest, text_col]))
+    text = text_col if text_col in columns else fresh(columns, "text")[0]
+    wanted = docs.select(*dict.fromkeys([*columns, text])) if text == text_col else docs.select(*columns, F.col(text_col).alias(text))
     if size > broadcast_bytes:
-        return _by_join(wanted.withColumn("_scanned", F.col(text_col).cast("binary")), items, window, rest, then, schema)
+        return _in_passes(wanted, items, columns, text, then, schema, window, -(-size // broadcast_bytes) if broadcast_bytes else 1)
     shared = docs.sparkSession.sparkContext.broadcast(NgramSet([(r["item"], r["text"]) for r in items.collect()], window))
 
     def scan(batches):
         import pyarrow as pa
 
         grams = shared.value
-        number = grams.vocabulary.get
         for whole in batches:
-            for batch in byte_batches(whole, text_col):
-                lists = [words_of(t) for t in batch.column(text_col).cast(pa.binary()).to_pylist()]
-                # a -1 after each document: no window crosses
-                ids = np.array([x for ws in lists for x in (*(number(w, -1) for w in ws), -1)], np.int64)
-                sizes = np.array([len(ws) for ws in lists])
-                first = np.concatenate([[0], np.cumsum(sizes + 1)])
-                hits, found = defaultdict(list), defaultdict(set)
-                for p, size, of in grams.matches(ids):
-                    i = int(np.searchsorted(first, p, "right")) - 1
-                    hits[i].append((p - first[i], size))
-                    found[i].update(of)
-                yield then(_report(batch, rest, [(n, hits.get(i, ()), found.get(i, ())) for i, n in enumerate(sizes.tolist())]))
+            for batch in byte_batches(whole, text):
+                texts = batch.column(text).cast(pa.binary()).to_pylist()
+                yield then(batch.select(columns), texts, [(n, _runs(hits), found) for n, hits, found in grams.scan(texts)])
 
     return wanted.mapInArrow(scan, schema)
 
 
-def _report(batch, columns: list[str], rows: list):
-    """rows: number of words, (position, size) of the windows found, items found."""
-    import pyarrow as pa
+def _runs(hits) -> list[tuple[int, int]]:
+    """The maximal runs of words that (position, size) hits cover."""
+    spans: list[tuple[int, int]] = []
+    for p, size in sorted(hits):
+        if spans and p <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(spans[-1][1], p + size))
+        else:
+            spans.append((p, p + size))
+    return spans
 
-    out = []
-    for n, hits, items in rows:
-        spans: list[dict] = []
-        for p, size in sorted(hits):
-            if spans and p <= spans[-1]["end"]:
-                spans[-1]["end"] = max(spans[-1]["end"], int(p + size))
-            else:
-                spans.append({"start": int(p), "end": int(p + size)})
-        out.append((n, sum(s["end"] - s["start"] for s in spans), sorted(x for x in items if x is not None), spans))
-    kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
-    arrays = [pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)]
-    return pa.record_batch([*(batch.column(c) for c in columns), *arrays], [*columns, "n_words", "n_hit", "items", "spans"])
 
+def _pieces(window: int):
+    """Items as normalised pieces of about PIECE_BYTES that share window - 1 words."""
 
-def _by_join(wanted: DataFrame, items: DataFrame, window: int, rest: list[str], then, schema) -> DataFrame:
-    """find_overlap() for a benchmark that is too large to broadcast.
+    def cut(batches):
+        import pyarrow as pa
 
-    Windows of both sides meet in an equi-join on their words, so equality is exact and
-    AQE may split a window that many documents share. Only window lengths that items
-    have (`window` numbers at most) are formed.
+        for whole in batches:
+            for batch in byte_batches(whole):
+                names, pieces = [], []
+                for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
+                    words = words_of(text)
+                    edges = np.cumsum([0] + [len(w) + 1 for w in words])
+                    a = 0
+                    while a < len(words):
+                        b = max(a + window, int(np.searchsorted(edges, edges[a] + PIECE_BYTES)))
+                        b = len(words) if b + window >= len(words) else b
+                        names.append(item)
+                        pieces.append(b" ".join(words[a:b]))
+                        a = b - window + 1 if b < len(words) else b
+                yield pa.record_batch([pa.array(names, pa.string()), pa.array(pieces, pa.binary())], ["item", "text"])
+
+    return cut
+
+
+def _in_passes(wanted: DataFrame, items: DataFrame, columns, text: str, then, schema, window: int, passes: int) -> DataFrame:
+    """_overlap() for a benchmark beyond one set: a scan for each part of it.
+
+    Pieces are dealt by a hash of item and words after repeated ones are dropped, so parts
+    are of about equal size whatever repeats. Only rows with hits leave a scan; their hits
+    of all passes meet by row, and rows without any join nothing.
     """
-
-    def windows(sizes):
-        def of(batches):
+    context = wanted.sparkSession.sparkContext
+    row, hit, found_in = fresh(wanted.columns, "row", "hits", "found")
+    pieces = items.mapInArrow(_pieces(window), "item string, text binary").distinct()
+    pieces = written(pieces.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(passes))), "benchmark-pieces")
+    rows = written(wanted.withColumn(row, F.monotonically_increasing_id()), "scanned-documents")
+    kind = "array<struct<at: int, size: int>>"
+    found = []
+    for k in range(passes):
+        shared = context.broadcast(NgramSet([(r["item"], r["text"]) for r in pieces.where(F.col("part") == k).collect()], window))
+
+        def scan(batches, shared=shared):
             import pyarrow as pa
 
-            for batch in batches:
-                key, at, size, gram = [], [], [], []
-                for k, t in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
-                    ws = words_of(t)
-                    for n in sizes or ([min(window, len(ws))] if ws else []):
-                        for p in range(len(ws) - n + 1):
-                            key.append(k)
-                            at.append(p)
-                            size.append(n)
-                            gram.append(b" ".join(ws[p : p + n]))
-                yield pa.record_batch([pa.array(key, batch.column("key").type), pa.array(at, pa.int32()), pa.array(size, pa.int32()), pa.array(gram, pa.binary())], ["key", "at", "size", "gram"])
-
-        return of
-
-    form = "key {}, at int, size int, gram binary"
-    grams = items.select(F.col("item").alias("key"), "text").mapInArrow(windows(None), form.format("string"))
-    grams = written(grams.select(F.col("key").alias("item"), "size", "gram").distinct(), "benchmark-windows")
-    sizes = sorted(r["size"] for r in grams.select("size").distinct().collect())
-    rows = written(wanted.withColumn("_row", F.monotonically_increasing_id()), "scanned-documents")
-    seen = rows.select(F.col("_row").alias("key"), F.col("_scanned").alias("text")).mapInArrow(windows(sizes or [window]), form.format("long"))
-    found = (
-        seen.join(grams, ["size", "gram"])
-        .groupBy(F.col("key").alias("_row"))
-        .agg(F.collect_set(F.struct("at", "size")).alias("_hits"), F.collect_set("item").alias("_items"))
-    )
-    joined = rows.join(found, "_row", "left").drop("_row")
+            spot = pa.list_(pa.struct([("at", pa.int32()), ("size", pa.int32())]))
+            grams = shared.value
+            for whole in batches:
+                for batch in byte_batches(whole, text):
+                    hits = grams.scan(batch.column(text).cast(pa.binary()).to_pylist())
+                    some = [i for i, (_, h, _) in enumerate(hits) if h]
+                    yield pa.record_batch(
+                        [
+                            batch.column(row).take(pa.array(some, pa.int32())),
+                            pa.array([[{"at": p, "size": n} for p, n in hits[i][1]] for i in some], spot),
+                            pa.array([sorted(hits[i][2]) for i in some], pa.list_(pa.string())),
+                        ],
+                        [row, hit, found_in],
+                    )
+
+        found.append(written(rows.select(row, text).mapInArrow(scan, f"`{row}` long, `{hit}` {kind}, `{found_in}` array<string>"), "benchmark-hits"))
+        shared.destroy()
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    merged = every.groupBy(row).agg(F.flatten(F.collect_list(hit)).alias(hit), F.array_distinct(F.flatten(F.collect_list(found_in))).alias(found_in))
 
     def report(batches):
-        for batch in batches:
-            lists = (batch.column(c).to_pylist() for c in ("_scanned", "_hits", "_items"))
-            yield then(_report(batch, rest, [(len(words_of(t)), [(h["at"], h["size"]) for h in hits or ()], items or ()) for t, hits, items in zip(*lists)]))
+        import pyarrow as pa
+
+        for whole in batches:
+            for batch in byte_batches(whole, text):
+                texts = batch.column(text).cast(pa.binary()).to_pylist()
+                hits, names = batch.column(hit).to_pylist(), batch.column(found_in).to_pylist()
+                yield then(batch.select(columns), texts, [(len(words_of(t)), _runs((h["at"], h["size"]) for h in hs or ()), ns or ()) for t, hs, ns in zip(texts, hits, names)])
 
-    return joined.mapInArrow(report, schema)
+    return rows.join(merged, row, "left").mapInArrow(report, schema)
 
 
-def cut_spans(text: bytes, spans: list[dict]) -> bytes:
+def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without the given runs of words (and what stands between their words)."""
     words = [m.span() for m in re.finditer(rb"\S+", text.translate(_WORD_BYTES))]
     out, end = [], 0
-    for s in spans:
-        out.append(text[end : words[s["start"]][0]])
-        end = words[s["end"] - 1][1]
+    for first, last in spans:
+        out.append(text[end : words[first][0]])
+        end = words[last - 1][1]
     return b"".join([*out, text[end:]])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, drop_share: float = DROP_SHARE, text_col: str = "text", **options) -> DataFrame:
     """docs without benchmark passages: hit spans are cut out, and a document of which
-    drop_share or more words are hit goes as a whole. All columns stay; a column n_chars
-    of whole numbers follows the new text."""
+    drop_share or more words are hit goes as a whole.
+
+    All columns stay, whatever their names; a column n_chars of whole numbers follows the
+    new text. Null and empty texts stay as they are. Rows that repeat are treated alike. An
+    empty table stays empty, and an empty benchmark changes nothing. options are those of
+    find_overlap().
+    """
     columns = docs.columns
 
-    def cut(report):
+    def cut(batch, texts, rows):
         import pyarrow as pa
 
-        sizes = zip(report.column("n_hit").to_pylist(), report.column("n_words").to_pylist())
-        batch = report.filter(pa.array([not (h and h >= drop_share * n) for h, n in sizes], pa.bool_()))
-        spans = batch.column("spans").to_pylist()
-        arrays = {c: batch.column(c) for c in columns}
-        if any(spans):
-            kind = arrays[text_col].type
-            texts = [cut_spans(t.encode(), s).decode("utf-8") if s else t for t, s in zip(arrays[text_col].to_pylist(), spans)]
-            arrays[text_col] = pa.array(texts, kind)
+        stay = [sum(b - a for a, b in spans) < drop_share * n or not spans for n, spans, _ in rows]
+        if any(spans for _, spans, _ in rows):
+            clean = [cut_spans(t, spans).decode("utf-8") if spans else None for t, (_, spans, _) in zip(texts, rows)]
+            arrays = dict(zip(columns, batch.columns))
+            old = arrays[text_col].to_pylist()
+            arrays[text_col] = pa.array([o if c is None else c for o, c in zip(old, clean)], arrays[text_col].type)
             if "n_chars" in arrays and pa.types.is_integer(arrays["n_chars"].type):
-                arrays["n_chars"] = pa.array([len(t) if s else n for t, s, n in zip(texts, spans, arrays["n_chars"].to_pylist())], arrays["n_chars"].type)
-        return pa.record_batch(list(arrays.values()), list(arrays))
+                arrays["n_chars"] = pa.array([n if c is None else len(c) for n, c in zip(arrays["n_chars"].to_pylist(), clean)], arrays["n_chars"].type)
+            batch = pa.record_batch(list(arrays.values()), columns)
+        return batch.filter(pa.array(stay, pa.bool_()))
 
-    return _overlap(docs, benchmark, cut, docs.schema, text_col=text_col, keep=tuple(columns), **options)
+    return _overlap(docs, benchmark, columns, cut, docs.schema, text_col=text_col, **options)
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_words, n_hit, n_items, items_sha256 and contaminated for every row of documents.
+
+    find_overlap() says what null, empty and very long texts, repeated rows and items, and
+    empty tables give. Columns but doc_id and text are not read.
+    """
     found = find_overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id",

@@ -124,7 +124,7 @@ def windows(docs, items, size=10):
     return out
 
 
-@pytest.mark.parametrize("limit", [decontam.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("limit", [decontam.BROADCAST_BYTES, 0, 100])
 def test_decontamination(docs, odd, nothing, benchmark, limit):
     items = [tuple(r) for r in benchmark.collect()]
     found = decontam.find_overlap(docs, benchmark, broadcast_bytes=limit).collect()
