@@ -4,9 +4,11 @@ Patterns find entities (addresses, numbers). Information-theoretic sanitisation
 how much the words around an entity give away: with c(t, e) the different texts in which
 term t stands near entity e and c(t) the different texts that hold t anywhere in the corpus,
 the posterior P(e | t) = c(t, e) / c(t) is what a reader of t alone would know of e (its
-pointwise mutual information with e is that posterior over e's prior). Terms whose
-posterior reaches a threshold, with enough different texts behind it, are disclosed:
-they are masked beside that entity or, as in the query and the pipeline, everywhere.
+pointwise mutual information with e is that posterior over e's prior). The same is asked of
+an entity's kind, with c(t, k) the different texts in which t stands near any entity of kind
+k, as most personal data occurs once. Terms whose posterior reaches a threshold, with enough
+different texts behind it, are disclosed: they are masked beside that entity or, as in the
+query and the pipeline, everywhere.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from tessella.sources.shared import written
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-#: Words on either side of an entity that are looked at, and how far away they may be.
+#: Words on either side of an entity that are looked at, and how far away they may reach.
 NEAR_WORDS, NEAR_CHARS = 5, 80
 #: Different texts in which a term must stand near an entity, and the posterior from which it is disclosed.
 LEAST_TEXTS, DISCLOSED = 3, 0.5
@@ -106,12 +108,12 @@ def _terms(text: str, entities: list[tuple[int, int, int]]) -> list[dict]:
         before = [w for w in words if w[1] <= start][-NEAR_WORDS:]
         after = [w for w in words if w[0] >= end][:NEAR_WORDS]
         key = entity_key(kind, text[start:end])
-        out += [{"term": text[a:b].lower(), "start": a, "end": b, "entity": key} for a, b in before + after if not any(a < y and x < b for x, y in taken)]
+        out += [{"term": text[a:b].lower(), "start": a, "end": b, "entity": key, "kind": kind} for a, b in before + after if not any(a < y and x < b for x, y in taken)]
     return out
 
 
 _ENTITIES = "entities array<struct<kind: int, start: int, end: int>>"
-_FOUND = f"{_ENTITIES}, near array<struct<term: string, start: int, end: int, entity: long>>, content long"
+_FOUND = f"{_ENTITIES}, near array<struct<term: string, start: int, end: int, entity: long, kind: long>>, content long"
 
 
 def _scanned(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
@@ -123,7 +125,7 @@ def _scanned(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
         from pyarrow import int32, int64, list_, string, struct
 
         entity = list_(struct([("kind", int32()), ("start", int32()), ("end", int32())]))
-        near = list_(struct([("term", string()), ("start", int32()), ("end", int32()), ("entity", int64())]))
+        near = list_(struct([("term", string()), ("start", int32()), ("end", int32()), ("entity", int64()), ("kind", int64())]))
         for whole in batches:
             for batch in byte_batches(whole, text_col):
                 found, terms, content = [], [], []
@@ -139,14 +141,15 @@ def _scanned(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
 
 
 def disclosed_terms(found: DataFrame, docs: DataFrame, text_col: str = "text", least_texts: int = LEAST_TEXTS, disclosed: float = DISCLOSED, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
-    """(term, entity, posterior) of the terms that give an entity away.
+    """(term, entity, posterior) of the terms that give an entity, or else its kind, away.
 
     found: rows with `near` and `content`; docs: the whole corpus, in which the terms are
-    counted. Copies of one text count once, near an entity and in the corpus, so they
+    counted. entity is entity_key(), or the kind's number for a term that discloses no
+    single entity but its kind. Copies of one text count once, near an entity and in the corpus, so they
     neither disclose a term by themselves nor hide one. Copies are folded, and then counts
     combined, before they are shuffled.
     """
-    near = found.select("content", F.explode("near").alias("n")).select("content", "n.term", "n.entity")
+    near = found.select("content", F.explode("near").alias("n")).select("content", "n.term", F.explode(F.array("n.entity", "n.kind")).alias("entity"))
     pairs = written(
         near.groupBy("term", "entity").agg(F.count_distinct("content").alias("texts")).where(F.col("texts") >= least_texts), "near-terms"
     )
@@ -186,7 +189,10 @@ def disclosed_terms(found: DataFrame, docs: DataFrame, text_col: str = "text", l
         counts = counts.join(terms, "term", "left_semi")
     totals = counts.groupBy("term").agg(F.sum("n").alias("n"))
     posterior = F.col("texts") / F.col("n")
-    return pairs.join(totals, "term").select("term", "entity", posterior.alias("posterior")).where(F.col("posterior") >= disclosed)
+    flagged = written(pairs.join(totals, "term").select("term", "entity", posterior.alias("posterior")).where(F.col("posterior") >= disclosed), "posteriors")
+    by_kind = F.col("entity").between(0, len(KINDS) - 1)
+    alone = flagged.where(~by_kind)
+    return alone.unionByName(flagged.where(by_kind).join(alone.select("term").distinct(), "term", "left_anti").select("term", "entity", "posterior"))
 
 
 def _places(text: str, entities: list[tuple[int, int, int]], only: frozenset | None) -> list[dict]:
@@ -243,8 +249,10 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", keep: tuple[str,
     entities: struct(kind index into KINDS, start, end), by kind and start; terms: struct(
     start, end) of disclosed terms, sorted: with `everywhere` each occurrence in any row,
     else those beside an entity that they disclose. Positions are code points, end exclusive. Null
-    text counts as empty. Rows with null or repeated ids are handled one by one; columns
-    of docs that keep doesn't name are ignored, and keep must not name the result's own.
+    text counts as empty, and empty texts have neither; very long texts are searched whole.
+    Rows with null or repeated ids are handled one by one, and copies count once towards
+    what is disclosed; columns of docs that keep doesn't name are ignored, and keep must
+    not name the result's own. An empty table gives an empty result.
     """
     keep = list(keep)
     if everywhere:
@@ -253,7 +261,7 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", keep: tuple[str,
         return _everywhere(docs, text_col, keep, flagged, thresholds.get("broadcast_terms", BROADCAST_TERMS))
     found = written(_scanned(docs, text_col, keep).withColumn("_row", F.monotonically_increasing_id()), "entities")
     flagged = written(disclosed_terms(found, docs, text_col, **thresholds), "disclosed-terms")
-    near = found.where(F.size("near") > 0).select("_row", F.explode("near").alias("n")).select("_row", "n.*")
+    near = found.where(F.size("near") > 0).select("_row", F.explode("near").alias("n")).select("_row", "n.term", "n.start", "n.end", F.explode(F.array("n.entity", "n.kind")).alias("entity"))
     terms = (
         near.join(flagged, ["term", "entity"], "left_semi")
         .groupBy("_row")
@@ -280,28 +288,42 @@ def masked(text: str, entities, terms) -> str:
 
 
 def sanitise(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFrame:
-    """docs with personal data masked in text_col; a column n_chars of whole numbers follows."""
+    """docs with personal data masked in text_col; a column n_chars of whole numbers follows.
+
+    Every row and all columns stay, whatever their names. Null and empty texts stay as they
+    are. Rows with null or repeated ids are masked one by one; repeated rows stay equal. An
+    empty table stays empty. thresholds are those of find_personal_data().
+    """
     columns = docs.columns
-    found = find_personal_data(docs, text_col, tuple(columns), **thresholds)
+    # plain names meanwhile, so that no column clashes with those of the search
+    plain = [f"c{i}" for i in range(len(columns))]
+    text, n_chars = plain[columns.index(text_col)], dict(zip(columns, plain)).get("n_chars")
+    found = find_personal_data(docs.toDF(*plain), text, tuple(plain), **thresholds)
 
     def mask(batches):
         import pyarrow as pa
 
         for whole in batches:
-            for batch in byte_batches(whole, text_col):
-                arrays = {c: batch.column(c) for c in columns}
+            for batch in byte_batches(whole, text):
+                arrays = {c: batch.column(c) for c in plain}
                 entities, terms = batch.column("entities").to_pylist(), batch.column("terms").to_pylist()
                 if any(entities) or any(terms):
-                    texts = [masked(t, e, s) if e or s else t for t, e, s in zip(arrays[text_col].to_pylist(), entities, terms)]
-                    arrays[text_col] = pa.array(texts, arrays[text_col].type)
-                    if "n_chars" in arrays and pa.types.is_integer(arrays["n_chars"].type):
-                        arrays["n_chars"] = pa.array([len(t) if e or s else n for t, e, s, n in zip(texts, entities, terms, arrays["n_chars"].to_pylist())], arrays["n_chars"].type)
-                yield pa.record_batch(list(arrays.values()), list(arrays))
+                    texts = [masked(t, e, s) if e or s else t for t, e, s in zip(arrays[text].to_pylist(), entities, terms)]
+                    arrays[text] = pa.array(texts, arrays[text].type)
+                    if n_chars and pa.types.is_integer(arrays[n_chars].type):
+                        arrays[n_chars] = pa.array([len(t) if e or s else n for t, e, s, n in zip(texts, entities, terms, arrays[n_chars].to_pylist())], arrays[n_chars].type)
+                yield pa.record_batch(list(arrays.values()), columns)
 
     return found.mapInArrow(mask, docs.schema)
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_email, n_ip, n_card, n_phone, base_sha256 and spans for every row of documents.
+
+    find_personal_data() says what null, empty and very long texts, repeated rows and an
+    empty table give. spans lists the patterns' spans by kind and start, then those of
+    disclosed terms by start. Columns but doc_id and text are not read.
+    """
     found = find_personal_data(table(spark, sf_dir, "documents"), everywhere=True)
     kinds = F.array(*map(F.lit, KINDS))
     count = lambda k: F.size(F.filter("entities", lambda e: e["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")

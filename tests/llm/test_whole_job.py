@@ -48,6 +48,79 @@ def test_query_and_pipeline_mask_everywhere(spark, tmp_path):
     assert {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, str(tmp_path)).collect()}[4] == "only [TERM] here"
 
 
+def test_kinds_are_disclosed_where_no_single_entity_is(spark):
+    """Every address occurs once, so only their kind shows; against a count by hand."""
+    texts = [f"{prose(8)} reach zorblax u{i}@x.example.com {prose(3)}" for i in range(6)] + [f"zorblax {prose(20)}"] * 9 + [prose(9) + f" +1 269 555 32{i}0 " + prose(9) for i in range(5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    flagged = {(r.term, r.entity): r.posterior for r in pii.disclosed_terms(pii._scanned(docs, "text", ["doc_id"]), docs).collect()}
+    beside, holds = Counter(), Counter()
+    for t in set(texts):
+        found = pii.find_entities(t)
+        taken = lambda a, b: any(x < b and a < y for _, x, y in found)  # noqa: E731, B023
+        words = [(m[0].lower(), *m.span()) for m in re.finditer(r"\w+", t)]
+        holds.update({w for w, *_ in words})
+        near = set()
+        for kind, a, b in found:
+            before = [w for w in words if w[2] <= a and w[1] >= a - 80][-5:]
+            after = [w for w in words if w[1] >= b and w[2] <= b + 80][:5]
+            near |= {(w, kind) for w, x, y in before + after if not taken(x, y)}
+        beside.update(near)
+    want = {k: n / holds[k[0]] for k, n in beside.items() if n >= 3 and n / holds[k[0]] >= 0.5}
+    assert flagged == want and want["zorblax", 0] == 6 / 7
+    spans = {r.doc_id: r.terms for r in pii.find_personal_data(docs, everywhere=True).collect()}
+    assert [(t.start, t.end) for t in spans[7]][:1] == [(0, 7)]
+
+
+@pytest.mark.parametrize("kind", range(4))
+def test_patterns_against_their_expressions(kind):
+    """Random strings over each pattern's characters, judged by the expression as stated."""
+    expression, alphabet, fits = (
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ab.@-+ 1", lambda m: True),
+        (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "0125.. ", lambda m: all(int(x) <= 255 for x in m.split("."))),
+        (r"[0-9]([\x20-]?[0-9])+", "0123456789-  x", lambda m: 16 <= sum(map(str.isdigit, m)) <= 19 and luhn(m)),
+        (r"\+[0-9][\x20().0-9-]+[0-9]", "+01 2(3).4-x", lambda m: 8 <= sum(map(str.isdigit, m)) <= 15),
+    )[kind]
+    weights = np.array([8.0 if c.isdigit() and kind == 2 else 1.0 for c in alphabet])
+    for _ in range(4000):
+        t = "".join(RNG.choice(list(alphabet), 28, p=weights / weights.sum()))
+        want = [m.span() for m in re.finditer(expression, t) if fits(m[0])]
+        assert [(a, b) for k, a, b in pii.find_entities(t) if k == kind] == want, t
+
+
+def luhn(text):
+    digits = [int(c) for c in text if c.isdigit()][::-1]
+    return (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
+
+
+def test_stages_pass_columns_of_any_name(spark):
+    from tessella.llm import decontam
+
+    names = ["doc_id", "text", "score", "entities", "terms", "_row", "n_words", "n_hit", "items", "spans", "near", "content", "_places", "_scanned", "hits", "row", "found", "c0", "fp", "range"]
+    rows = [(i, t, *(["x"] * (len(names) - 2))) for i, t in enumerate(["mail a@b.example.org " + prose(30), None, "", prose(12)])]
+    docs = spark.createDataFrame(rows, names)
+    labels = spark.createDataFrame([(0, 1), (3, 0)], "doc_id long, quality int")
+    bench = spark.createDataFrame([(1, rows[0][1])], "item_id long, text string")
+    assert quality.keep_good(docs, labels, 0.0).columns == names == pii.sanitise(docs).columns == pii.sanitise(docs, everywhere=True, broadcast_terms=0).columns
+    assert pii.sanitise(docs, everywhere=True).count() == quality.keep_good(docs, labels, 0.0).count() == 4
+    for limit in (decontam.BROADCAST_BYTES, 50):
+        kept = decontam.decontaminate(docs, bench, broadcast_bytes=limit)
+        assert kept.columns == names and sorted(r.doc_id for r in kept.collect()) == [1, 2, 3]
+
+
+def test_a_large_benchmark_stays_a_hash_set(spark):
+    """A benchmark beyond one set, with items beyond one piece, against windows by hand."""
+    from tessella.llm import decontam
+
+    item = " ".join(f"x{i}" for i in range(30_000))
+    bench = spark.createDataFrame([(1, item), (2, prose(400)), (3, "lone"), (2, "x5 x6"), (None, prose(40))], "item_id long, text string")
+    words = item.split()
+    texts = [" ".join(words[a : a + 14]) for a in range(9_990, 10_010)] + ["lone x", "x6 x5 x6", " ".join(words[-10:]), " ".join(words[-9:]), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    one, many = ({r.doc_id: tuple(r) for r in decontam.find_overlap(docs, bench, broadcast_bytes=n).collect()} for n in (1 << 24, 40_000))
+    assert one == many
+    assert all(one[i][2:4] == (14, ["1"]) for i in range(20)) and one[20][2:4] == (1, ["3"]) and one[21][2:4] == (2, ["2"]) and one[22][2] == 10 and one[23][2] == 0
+
+
 M = (1 << 64) - 1
 
 
