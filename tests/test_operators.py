@@ -2,9 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from tessella.functions.boxes import clipped, conflicts, hbb_line
 from tessella.functions.gates import first_reason, reasons
+from tessella.operators import graph
 from tessella.operators.folds import budget
 from tessella.operators.graph import connected_components
 from tessella.operators.ordering import with_position
@@ -19,6 +21,28 @@ def test_components_of_chains_stars_and_loops(spark):
     assert {found[100 + i] for i in range(61)} == {100} and {found[400 + i] for i in range(50)} == {300}
 
 
+@pytest.mark.parametrize("least", [2, 64])
+def test_components_of_hubs_chains_and_rings_together(spark, monkeypatch, least):
+    """Hubs are dealt to several tasks; every answer is held against union-find."""
+    monkeypatch.setattr(graph, "LEAST_HUB", least)
+    rng = random.Random(7)
+    edges = [(5000, i) for i in range(5001, 5400)] + [(i, i + 1) for i in range(2000, 2150)] + [(3000 + i, 3000 + (i + 1) % 40) for i in range(40)]
+    edges += [(rng.randrange(900), rng.randrange(900)) for _ in range(500)] + [(5390, 2100), (20, 9000), (9000, 9500)]
+    label = {}
+
+    def root(x):
+        label.setdefault(x, x)
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        label[max(a, b)] = min(a, b)
+    found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
+    assert found == {x: root(x) for x in label}
+
+
 def test_components_of_nothing(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
