@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import byte_batches, signed, table
+from tessella.llm.common import byte_batches, fresh, signed, table
 from tessella.operators.graph import connected_components
 from tessella.sources.shared import written
 
@@ -60,6 +60,11 @@ def fingerprint_values(texts: list[bytes], shingle: int = SHINGLE, seed: int = S
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp long) for every row of docs; null text counts as empty, without words fp is 0."""
     kind = docs.schema[id_col].dataType.simpleString()
+    return _fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), [id_col], f"`{id_col}` {kind}")
+
+
+def _fingerprints(rows: DataFrame, names: list[str], schema: str) -> DataFrame:
+    """rows' columns under the given names, but for the last, text, which becomes fp."""
 
     def compute(batches):
         import pyarrow as pa
@@ -67,9 +72,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for whole in batches:
             for batch in byte_batches(whole, limit=1 << 20):
                 fp = fingerprint_values([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()])
-                yield pa.record_batch([batch.column("id"), pa.array(signed(fp))], [id_col, "fp"])
+                yield pa.record_batch([*batch.columns[:-1], pa.array(signed(fp))], [*names, "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(compute, f"`{id_col}` {kind}, fp long")
+    return rows.mapInArrow(compute, f"{schema}, fp long")
 
 
 def unary(fp: np.ndarray) -> np.ndarray:
@@ -185,47 +190,84 @@ def _search(max_bits: int):
     return search
 
 
+def _crowded(cells: DataFrame, block: int) -> DataFrame:
+    """(cell, stand, look): numbers of blocks of the cells in which more than `block`
+    fingerprints stand, or into which more may look; stand is 0 where none stands.
+
+    Looks come from cells one step below. Their number is bounded from above by what the
+    fuller ones among those hold, and a block for all others, so looks need no count.
+    """
+    steps = F.array(*(F.lit(1 << 2 * i).cast("long") for i in range(16)))
+    standing = written(cells.where("look = 0").groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > block // 32), "standing")
+    half = F.col("cell").bitwiseAND(F.lit(0xFFFFFFFF))
+    above = F.transform(F.filter(steps, lambda s: half.bitwiseAND(s * 2) == 0), lambda s: F.col("cell") + s)
+    looks = standing.select(F.explode(above).alias("cell"), "n").groupBy("cell").agg((F.sum("n") + block // 2).alias("looks"))
+    both = standing.join(looks, "cell", "full")
+    crowded = both.where((F.col("n") > block) | (F.col("looks") > block))
+    # of cells that are crowded by looks alone, those in which few or none stand
+    few = cells.where("look = 0").join(crowded.where("n is null").select("cell"), "cell", "left_semi").groupBy("cell").agg(F.count("*").alias("few"))
+    blocks = lambda c: F.ceil(F.coalesce(c, F.lit(0)) / block).cast("long")
+    return crowded.join(few, "cell", "left").select("cell", blocks(F.coalesce("n", "few")).alias("stands"), F.greatest(blocks(F.col("looks")), F.lit(1)).alias("looks"))
+
+
+def _dealt(cells: DataFrame, block: int) -> DataFrame:
+    """(cell, unit, look, fp): cells as groups that no number of fingerprints makes large.
+
+    A unit of 0 or more is a block of fingerprints that pair with one another (and, in a
+    cell of one unit, with all that look); in a unit below 0 those with look 0 pair with
+    those with look 1.
+    """
+    found = cells.select("cell", F.lit(0).cast("long").alias("unit"), "look", "fp")
+    sizes = written(_crowded(cells, block), "large-cells")
+    if sizes.isEmpty():
+        return found
+    n, m = F.col("stands"), F.col("looks")
+    zero = F.lit(0).cast("long")
+    upto = lambda c: F.when(c > 0, F.sequence(zero, c - 1)).otherwise(F.array().cast("array<long>"))
+    own, mine = F.pmod(F.xxhash64("fp"), F.greatest(n, F.lit(1))), F.pmod(F.xxhash64("fp"), m)
+    put = lambda unit, look: F.struct(unit.alias("unit"), F.lit(look).alias("look"))
+    # units: 1 + i for block i by itself, -1 - (i * n + j) for blocks i < j that stand, and
+    # below those -1 - n * n - (i * m + j) for standing block i against looking block j
+    stand = F.concat(
+        F.transform(upto(n), lambda j: F.when(j == own, put(1 + own, 0)).when(j > own, put(-1 - (own * n + j), 0)).otherwise(put(-1 - (j * n + own), 1))),
+        F.transform(upto(m), lambda j: put(-1 - n * n - (own * m + j), 0)),
+    )
+    looks = F.transform(upto(n), lambda i: put(-1 - n * n - (i * m + mine), 1))
+    large = cells.join(sizes, "cell").select("cell", "fp", F.explode(F.when(F.col("look") == 0, stand).otherwise(looks)).alias("x")).select("cell", "x.unit", "x.look", "fp")
+    return found.join(sizes, "cell", "left_anti").unionByName(large)
+
+
 def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = CELL_BLOCK) -> DataFrame:
     """(a, b): links that span every component of distinct fingerprints `fps` (column fp).
 
     max_bits is 3 at most, for the halves' bound. Pairs are compared inside tasks and
     only a spanning star of what was found leaves them, so a group of thousands of near
     copies gives thousands of rows, not millions. A cell in which more than `block`
-    fingerprints stand is cut into blocks, and each pair of blocks is a group of its own.
+    fingerprints stand or look is cut into blocks on both sides, and each pair of blocks is
+    a group of its own; looks into a crowded cell where none stands are dropped.
     """
     if max_bits > 3:
         raise ValueError("the grid's halves hold for 3 bits at most")
-    cells = _cells(fps)
-    sizes = cells.where("look = 0").groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > block)
-    sizes = written(sizes.select("cell", F.ceil(F.col("n") / block).alias("blocks")), "large-cells")
-    found = cells.select("cell", F.lit(0).alias("unit"), "look", "fp")
-    if not sizes.isEmpty():
-        own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
-        each = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-        code = lambda i, j: i * F.col("blocks") + j
-        # units: 1 + code for a block by itself, -1 - code for a block against another, below them
-        # those for what stands in one block against what looks in another
-        less = F.col("blocks") * F.col("blocks")
-        stand = F.concat(
-            F.transform(each, lambda j: F.when(j == own, F.struct((1 + code(own, own)).alias("unit"), F.lit(0).alias("look"))).when(j > own, F.struct((-1 - code(own, j)).alias("unit"), F.lit(0).alias("look"))).otherwise(F.struct((-1 - code(j, own)).alias("unit"), F.lit(1).alias("look")))),
-            F.transform(each, lambda j: F.struct((-1 - less - code(own, j)).alias("unit"), F.lit(0).alias("look"))),
-        )
-        looks = F.transform(each, lambda i: F.struct((-1 - less - code(i, own)).alias("unit"), F.lit(1).alias("look")))
-        large = cells.join(sizes, "cell").select("cell", "fp", F.explode(F.when(F.col("look") == 0, stand).otherwise(looks)).alias("x")).select("cell", F.col("x.unit").alias("unit"), F.col("x.look").alias("look"), "fp")
-        found = found.join(sizes, "cell", "left_anti").withColumn("unit", F.col("unit").cast("long")).unionByName(large)
-    dealt = found.repartition("cell", "unit").sortWithinPartitions("cell", "unit", "look")
+    dealt = _dealt(_cells(fps), block).repartition("cell", "unit").sortWithinPartitions("cell", "unit", "look")
     return dealt.mapInArrow(_search(max_bits), "a long, b long")
 
 
+def _groups(nodes: DataFrame, max_bits: int, block: int) -> DataFrame:
+    """(fp, component) of distinct fingerprints; component is a fingerprint of the group."""
+    joined = connected_components(written(links(nodes, max_bits, block), "fingerprint-links"))
+    joined = joined.select(F.col("node").alias("fp"), "component")
+    return nodes.select("fp").join(joined, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicate_groups(docs: DataFrame, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text", block: int = CELL_BLOCK) -> DataFrame:
     """(id, fp, component_id) for every row of docs.
 
     component_id is the smallest id of the documents reachable over links of at most
     max_bits differing bits. Copies have one fingerprint and are folded into it first.
-    Null and empty texts have fingerprint 0 and link like any other. A row with a null
-    id takes part by its fingerprint; component_id is null where no reachable document
-    has an id. Rows with repeated ids each get a result. Other columns are ignored. An
-    empty table gives an empty result.
+    Null and empty texts have fingerprint 0 and link like any other; very long texts are
+    taken whole. A row with a null id takes part by its fingerprint; component_id is null
+    where no reachable document has an id. Rows with repeated ids each get a result. Other
+    columns are ignored. An empty table gives an empty result.
     """
     own = written(fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = written(own.groupBy("fp").agg(F.min(id_col).alias("_first")), "distinct-fingerprints")
@@ -238,18 +280,36 @@ def near_duplicate_groups(docs: DataFrame, max_bits: int = MAX_BITS, id_col: str
     return own.join(known, "fp").select(id_col, "fp", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """docs with one document of each group of near duplicates, the one of smallest doc_id.
+def keep_one_of_each(docs: DataFrame, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each group of near duplicates: the one of smallest id, and of
+    smallest digest of its text if ids are equal; rows without an id come last.
 
-    All columns stay. Of rows that repeat that id one stays; rows with a null id, which
-    nothing tells apart, all stay.
+    So no group is lost if two texts share an id, and of rows that are equal in id and text
+    one stays. All columns stay, whatever their names. Null and empty texts are one group
+    (with whatever is within max_bits of fingerprint 0). An empty table stays empty.
     """
-    groups = near_duplicate_groups(docs, max_bits)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    one = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    digest, plain = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)), ["id", "digest"]
+    kind = docs.schema[id_col].dataType.simpleString()
+    own = written(_fingerprints(docs.select(F.col(id_col).alias("id"), digest.alias("digest"), F.col(text_col).alias("text")), plain, f"id {kind}, digest binary"), "fingerprints")
+    group = _groups(own.select("fp").distinct(), max_bits, CELL_BLOCK)
+    first = F.min(F.struct(F.col("id").isNull(), "id", "digest")).alias("x")
+    # copies fold before they meet their group, so the join moves few rows of one fingerprint
+    heads = own.groupBy("fp").agg(first).join(group, "fp").groupBy("component").agg(F.min("x").alias("x"))
+    row_digest, kept_digest, kept_id = fresh(docs.columns, "row_digest", "kept_digest", "kept_id")
+    kept = written(heads.select(F.col("x.id").alias(kept_id), F.col("x.digest").alias(kept_digest)), "kept")
+    same = (F.col(row_digest) == F.col(kept_digest)) & F.col(id_col).eqNullSafe(F.col(kept_id))
+    stay = docs.withColumn(row_digest, digest).join(kept, same, "left_semi")
+    if not own.groupBy("id", "digest").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        stay = stay.dropDuplicates([id_col, row_digest])
+    return stay.select(*docs.columns)
 
 
 def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, fingerprint and component_id for every row of documents.
+
+    near_duplicate_groups() says what null, empty and very long texts, repeated rows and an
+    empty table give; fingerprints that differ in exactly 3 bits link. Columns but doc_id
+    and text are not read.
+    """
     groups = near_duplicate_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

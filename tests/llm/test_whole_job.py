@@ -121,6 +121,34 @@ def test_a_large_benchmark_stays_a_hash_set(spark):
     assert all(one[i][2:4] == (14, ["1"]) for i in range(20)) and one[20][2:4] == (1, ["3"]) and one[21][2:4] == (2, ["2"]) and one[22][2] == 10 and one[23][2] == 0
 
 
+def test_no_group_is_lost_to_a_shared_id(spark):
+    from tessella.llm import simhash
+
+    a, b, c = prose(60), prose(70), prose(80)
+    rows = [(7, a), (7, b), (8, b), (None, c), (None, c), (None, a), (9, c), (None, prose(50)), (3, None), (4, ""), (7, a)]
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, kept_id string, Row_Digest string")
+    kept = simhash.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(7, a), (7, b), (9, c), (0, rows[7][1]), (3, "")])
+    assert simhash.keep_one_of_each(docs.limit(0)).count() == 0
+
+
+def test_many_looks_into_one_cell_are_dealt(spark):
+    """100,000 fingerprints look into a cell where five stand, and into one where none does."""
+    from tessella.llm import simhash
+
+    low = np.unique(RNG.integers(0, 1 << 32, 100_000, dtype=np.uint64))
+    looking = low << np.uint64(32) | np.uint64(0b0100)  # one below the cells 01 01 and 01 00 01
+    standing = (np.unique(RNG.integers(0, 1 << 32, 5, dtype=np.uint64)) << np.uint64(32)) | np.uint64(0b0101)
+    fps = spark.createDataFrame([(int(v),) for v in np.concatenate([looking, standing]).view(np.int64)], "fp long").repartition(8)
+    dealt = simhash._dealt(simhash._cells(fps), 4000)
+    sizes = dealt.groupBy("cell", "unit").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    assert sizes < 3 * 4000
+    into = {r.look: r.n for r in dealt.where("cell = 5").groupBy("look").agg(F.countDistinct("fp").alias("n")).collect()}
+    assert into[1] == len(looking) and into[0] == len(standing)
+    assert dealt.where("cell = 20").isEmpty()  # 01 01 00: none stands there
+
+
 M = (1 << 64) - 1
 
 
