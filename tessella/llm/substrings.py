@@ -3,11 +3,18 @@
 A string of MATCH bytes is handed to the gram of GRAM bytes in it whose hash is smallest
 (the leftmost of equal ones), its anchor. Equal strings have equal anchors at equal
 places, so suffixes need comparing only where an anchor occurs more than once, and the
-anchors deal them to tasks. There, the suffixes of one bucket are sorted by a bottom-up
-mergesort that compares two of them by prefix polynomial hashes: the hashes tell whether
-two stretches are equal in constant time, a binary search over their length finds how far
-two suffixes agree, and the next byte decides. Neighbours that agree for MATCH bytes are
-verified byte by byte; all but the first of a run of equal strings are repeats.
+anchors deal them to tasks. A bucket holds, for each occurrence of its anchor, the bytes
+of all strings of that anchor, and the suffixes of those bytes that start equally far from
+the anchor are sorted by a bottom-up mergesort. It compares two suffixes by prefix
+polynomial hashes: they tell whether two stretches are equal in constant time, a binary
+search over their length finds the common extension, and the next byte decides. The common
+extension of neighbours in the sorted order gives the result: where it reaches MATCH bytes
+from one suffix to the next, all of them start with one string. That is verified byte by
+byte, and all but the earliest are repeats.
+
+Three kinds of repeats are settled before the sort, to the same result: of texts that are
+equal as a whole (by SHA-256) all but the first are repeats throughout; of equal bytes
+around an anchor in one batch, and in one bucket, only the earliest are sorted.
 """
 
 from __future__ import annotations
@@ -19,7 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import byte_batches, signed, table
+from tessella.llm.common import byte_batches, signed, table, whole_number_ids
+from tessella.operators.ordering import with_position
+from tessella.sources.shared import written
 
 MATCH = 100
 GRAM = 20
@@ -32,6 +41,8 @@ _ROWS_AT_ONCE = 20_000
 #: Bytes of texts whose anchors are found together.
 _CHUNK = 1 << 16
 _WIDTH = REACH - 1 + MATCH
+#: Bits of an anchor's hash that go with its place.
+_TAG = (1 << 29) - 1
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = np.array([pow(_BASE, k, 1 << 64) for k in range(_WIDTH + 1)], np.uint64)
 _INVERSES = np.array([pow(_BASE, -k, 1 << 64) for k in range(_WIDTH + 1)], np.uint64)
@@ -116,41 +127,39 @@ def _prefix_hashes(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-class _Strings:
-    """Strings of MATCH bytes: row x of `data`, from column c on."""
+class _Suffixes:
+    """Suffixes of the rows of `data`: of row x from column c to the row's end."""
 
-    def __init__(self, data: np.ndarray, row: np.ndarray, column: np.ndarray, prefix: np.ndarray):
-        self.data, self.row, self.column = data, row, column
+    def __init__(self, data: np.ndarray, row: np.ndarray, column: np.ndarray, size: np.ndarray, prefix: np.ndarray):
+        self.data, self.row, self.column, self.size = data, row, column, size
         self.width = prefix.shape[1]
         self.flat = prefix.ravel()
         self.start = row * self.width + column
-        self.whole = self.flat[self.start + MATCH] - self.flat[self.start] * _POWERS[MATCH]
 
     def common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """How many first bytes agree, for pairs that differ somewhere."""
+        """How many first bytes agree."""
         a, b = self.start[x], self.start[y]
         ha, hb = self.flat[a], self.flat[b]
-        low, high = np.zeros(len(x), np.int64), np.full(len(x), MATCH, np.int64)
-        for _ in range(MATCH.bit_length()):
-            mid = (low + high) >> 1
+        low, high = np.zeros(len(x), np.int64), np.minimum(self.size[x], self.size[y])
+        for _ in range(int(high.max(initial=0)).bit_length()):
+            mid = (low + high + 1) >> 1
             p = _POWERS[mid]
             same = self.flat[a + mid] - ha * p == self.flat[b + mid] - hb * p
             low = np.where(same, mid, low)
-            high = np.where(same, high, mid)
+            high = np.where(same, high, mid - 1)
         return low
 
     def before(self, x: np.ndarray, y: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
-        """Whether string x stands before y, or (where asked) is equal to it."""
-        out = or_equal.copy()
-        differ = np.flatnonzero(self.whole[x] != self.whole[y])
-        if len(differ):
-            x, y = x[differ], y[differ]
-            n = self.common(x, y)
-            out[differ] = self.data[self.row[x], self.column[x] + n] < self.data[self.row[y], self.column[y] + n]
-        return out
+        """Whether suffix x stands before y, or (where asked) is equal to it."""
+        n = self.common(x, y)
+        ended_x, ended_y = n == self.size[x], n == self.size[y]
+        # where one has ended, the byte looked at may be any, as it doesn't count
+        at_x, at_y = self.column[x] + np.where(ended_x, 0, n), self.column[y] + np.where(ended_y, 0, n)
+        less = self.data[self.row[x], at_x] < self.data[self.row[y], at_y]
+        return np.where(ended_x & ended_y, or_equal, ended_x | (~ended_y & less))
 
     def same_bytes(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Whether strings are equal, eight bytes at a time (the last eight may overlap)."""
+        """Whether the first MATCH bytes are equal, eight at a time (the last eight may overlap)."""
         flat = self.data.ravel()
         words = np.ndarray((len(flat) - 7,), np.uint64, flat, strides=(1,))
         a, b = (self.row[i] * self.data.shape[1] + self.column[i] for i in (x, y))
@@ -160,8 +169,8 @@ class _Strings:
         return out
 
 
-def _mergesort(strings: _Strings, order: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """order with the strings of each group sorted, equal ones as they stood. first, size:
+def _mergesort(suffixes: _Suffixes, order: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """order with the suffixes of each group sorted, equal ones as they stood. first, size:
     for each place in order, where its group starts and how many it holds."""
     order = order.copy()
     places = np.flatnonzero(size > 1)
@@ -178,7 +187,7 @@ def _mergesort(strings: _Strings, order: np.ndarray, first: np.ndarray, size: np
         while len(open_):
             mid = (low[open_] + high[open_]) >> 1
             # those of the left run go before equal ones of the right run
-            up = strings.before(order[other[open_] + mid], x[open_], right[open_])
+            up = suffixes.before(order[other[open_] + mid], x[open_], right[open_])
             low[open_] = np.where(up, mid + 1, low[open_])
             high[open_] = np.where(up, high[open_], mid)
             open_ = open_[low[open_] < high[open_]]
@@ -206,7 +215,7 @@ def repeats(bucket: np.ndarray, contexts: list[bytes], left: np.ndarray, key: np
     number = sizes - MATCH + 1
     row = np.repeat(np.arange(m), number)
     column = np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number) + begin[row]
-    strings = _Strings(data, row, column, _prefix_hashes(data))
+    suffixes = _Suffixes(data, row, column, (begin + sizes)[row] - column, _prefix_hashes(data))
     new = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     group = np.repeat(np.arange(len(new)), np.diff([*new, m]))
     group = group[row] * REACH + column
@@ -219,19 +228,25 @@ def repeats(bucket: np.ndarray, contexts: list[bytes], left: np.ndarray, key: np
     if not len(order):
         return order, order, order, order
     first, size = np.repeat(np.cumsum(n) - n, n), np.repeat(n, n)
-    order = _mergesort(strings, order, first, size)
-    same = np.concatenate([[False], (strings.whole[order[1:]] == strings.whole[order[:-1]]) & (first[1:] == first[:-1])])
+    order = _mergesort(suffixes, order, first, size)
+    beside = np.flatnonzero(first[1:] == first[:-1]) + 1
+    reach = np.zeros(len(order), np.int64)
+    reach[beside] = suffixes.common(order[beside], order[beside - 1])
+    same = reach >= MATCH
     at = np.flatnonzero(same)
-    true = strings.same_bytes(order[at], order[at - 1])
-    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
+    true = suffixes.same_bytes(order[at], order[at - 1])
+    run = np.cumsum(~same) - 1
     if not true.all():  # hashes collided: the runs in question are told apart by their bytes
-        for h in np.unique(head[at[~true]]):
+        for h in np.unique(run[at[~true]]):
             seen: dict[bytes, int] = {}
-            for k in np.flatnonzero(head == h):
+            for k in np.flatnonzero(run == h):
                 x = order[k]
                 body = data[row[x], column[x] : column[x] + MATCH].tobytes()
-                head[k] = seen.setdefault(body, k)
-    r, lead = row[order], row[order[head]]
+                run[k] = seen.setdefault(body, run.max() + 1)
+    # places count in order of (key, anchor) within a group, so a run's earliest is its least
+    earliest = np.full(run.max() + 1, len(row), np.int64)
+    np.minimum.at(earliest, run, order)
+    r, lead = row[order], row[earliest[run]]
     place = anchor[r] - (furthest - column[order])
     # one and the same place may be there twice if rows of the table are repeated
     late = (r != lead) & ((key[r] != key[lead]) | (anchor[r] != anchor[lead]))
@@ -255,11 +270,11 @@ def _find_anchors(batches):
             yield pa.record_batch([pa.array(signed(gram)), batch.column("_key").take(pa.array(own)), pa.array(at.astype(np.int32))], ["gram", "_key", "at"])
 
 
-def _cut_contexts(hot: int, very_hot: int):
+def _cut_contexts():
     """For each listed anchor the bytes of its strings, under the bucket they are sorted in.
 
-    Strings of an anchor with more than `hot` occurrences go by ranges of neighbouring
-    ones, under a hash of the bytes that all strings of the range have in common: equal
+    Strings of an anchor with many occurrences (tag: 1 or 2 in its last two bits, above them
+    bits of the gram's hash) go by ranges of neighbouring ones, under a hash of the bytes that all strings of the range have in common: equal
     strings have equal ones. Of equal contexts in one batch the first goes on alone; the
     others are repeats of it already, and leave as spans (context null; start, end in
     `at`, `left`). A text that is the copy of an earlier one leaves as one span.
@@ -272,21 +287,21 @@ def _cut_contexts(hot: int, very_hot: int):
             for batch in byte_batches(whole, "_bytes", 2 << 20):
                 texts = [t or b"" for t in batch.column("_bytes").to_pylist()]
                 keys = batch.column("_key").to_pylist()
-                wanted = [dict(zip(x.values.field("at").to_pylist(), x.values.field("n").to_pylist())) for x in batch.column("_listed")]
+                wanted = [{(p, t >> 2): t & 3 for p, t in zip(x.values.field("at").to_pylist(), x.values.field("tag").to_pylist())} for x in batch.column("_listed")]
                 out, leading = [], {}
                 for o, copies in enumerate(batch.column("_copies").to_pylist()):
                     if copies and hashlib.sha256(texts[o]).digest() in copies:
                         out.append((xxhash.xxh64_intdigest(str(keys[o])), 0, keys[o], 0, len(texts[o]), None))
                         texts[o] = b""
                 for o, gram, p, s, e in zip(*(x.tolist() for x in anchors(texts))):
-                    n = wanted[o].get(p)
-                    if n is None:
+                    crowd = wanted[o].get((p, gram & _TAG))
+                    if crowd is None:
                         continue
                     text, key, low, high = texts[o], keys[o], p - e, p - s
-                    width = REACH if n <= hot else _TOGETHER if n <= very_hot else 1
+                    width = (REACH, _TOGETHER, 1)[crowd]
                     for q in range(low // width, high // width + 1):
                         a, b, part = max(low, q * width), min(high, q * width + width - 1), 0
-                        if n > hot:
+                        if crowd:
                             part = xxhash.xxh64_intdigest(text[p - q * width : p - q * width - width + 1 + MATCH], q + 1)
                         same = (gram, part, b, text[p - b : p - a + MATCH])
                         first = leading.setdefault(same, (key, p))
@@ -369,11 +384,15 @@ def merged(spans) -> list[tuple[int, int]]:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, very_hot: int = VERY_HOT) -> DataFrame:
     """Every row of docs as (id, _bytes, spans): what a string that also stands earlier covers.
 
+    Ids must be whole numbers (a TypeError otherwise), as they tell what is earlier.
+
     Earlier means a smaller id, or a smaller start in the same document. spans are byte
     ranges (end exclusive), neither sorted nor merged, and null if there are none. A null
-    id counts as smaller than all others; rows that share an id count as one document, so
-    repeated rows don't repeat each other. Null text is empty. Texts of fewer than MATCH
-    bytes have no span. Other columns are ignored; an empty table gives an empty result.
+    id counts as smaller than all others; rows that share id and text count as one
+    document, so repeated rows don't repeat each other, and different texts under one id
+    follow one another in the order of a hash. Null text is empty. Texts of fewer than MATCH
+    bytes have no span; very long ones are searched whole. Other columns are ignored; an
+    empty table gives an empty result.
 
     Anchors that occur once, most of them, leave after a count that is combined before it
     is shuffled. Of whole texts that are equal the first alone is searched: each string of
@@ -381,16 +400,25 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     strings of it share, beyond `very_hot` by each string itself, and of equal contexts one
     goes on from each batch, so no bucket grows with the corpus.
     """
+    whole_number_ids(docs, id_col)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long"))
     keyed = docs.select(F.col(id_col), key.alias("_key"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_bytes"))
+    hashed = keyed.select("_key", F.xxhash64("_bytes").alias("_hash"))
+    if not hashed.groupBy("_key").agg(F.min("_hash").alias("a"), F.max("_hash").alias("b")).where("a < b").isEmpty():
+        # different texts under one id: their places in the order of both tell them apart
+        places = with_position(hashed.distinct(), ["_key", "_hash"])
+        keyed = written(keyed.withColumn("_hash", F.xxhash64("_bytes")).join(places, ["_key", "_hash"]).select(id_col, F.col("position").cast("long").alias("_key"), "_bytes"), "numbered")
     found = keyed.select("_key", "_bytes").mapInArrow(_find_anchors, "gram long, _key long, at int")
-    several = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    listed = found.join(several, "gram").groupBy("_key").agg(F.collect_list(F.struct("at", "n")).alias("_listed"))
+    crowd = F.when(F.col("n") > very_hot, 2).when(F.col("n") > hot, 1).otherwise(0)
+    # a written table, as AQE can't split a hot gram beside an aggregate
+    several = written(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram", crowd.cast("byte").alias("crowd")), "anchors")
+    tag = (F.col("gram").bitwiseAND(_TAG) * 4 + F.col("crowd")).cast("int")
+    listed = found.join(several, "gram").select("_key", "at", tag.alias("tag")).groupBy("_key").agg(F.collect_list(F.struct("at", "tag")).alias("_listed"))
     whole = keyed.where(F.octet_length("_bytes") >= MATCH).select("_key", F.unhex(F.sha2("_bytes", 256)).alias("_digest"))
     firsts = whole.groupBy("_digest").agg(F.min("_key").alias("_first"), F.max("_key").alias("_last")).where("_first < _last")
     copies = whole.join(firsts, "_digest").where("_key > _first").groupBy("_key").agg(F.collect_set("_digest").alias("_copies"))
     # with the id, so that this side and the last join's are dealt out once for both
-    contexts = keyed.join(listed.join(copies, "_key", "left"), "_key").mapInArrow(_cut_contexts(hot, very_hot), "gram long, part long, _key long, at int, left int, context binary")
+    contexts = keyed.join(listed.join(copies, "_key", "left"), "_key").mapInArrow(_cut_contexts(), "gram long, part long, _key long, at int, left int, context binary")
     dealt = contexts.repartition("gram", "part").sortWithinPartitions("gram", "part", "_key", "at")
     spans = dealt.mapInArrow(_sort_buckets, "_key long, start int, end int")
     spans = spans.groupBy("_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
@@ -400,7 +428,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, **limits) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept binary]) for every row of docs.
 
-    kept is the text's bytes without its repeated spans; see repeated_spans().
+    kept is the text's bytes without its repeated spans; repeated_spans() says what null,
+    empty and long texts, null and repeated ids and an empty table give.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -426,4 +455,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_bytes, n_removed, n_spans and kept_sha256 for every row of documents; see
+    repeated_spans() for nulls, repeats and the rest. Columns but doc_id and text are not read."""
     return remove_repeats(table(spark, sf_dir, "documents"))
