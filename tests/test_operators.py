@@ -87,3 +87,16 @@ def test_sinks(spark, tmp_path):
     assert checksum_mismatches(spark, str(tmp_path / "out"), sums.select("path", "sha256")).count() == 0
     text = spark.range(1).select(label_text(F.array(F.lit("s")), F.array(F.lit(None).cast("string"), F.lit("o")))).first()[0]
     assert text == "s\no"
+
+
+def test_scratch_tables_go(spark):
+    from tessella.sources import shared
+
+    with shared.scratch(spark) as made:
+        gone = shared.written(spark.range(3), "gone")
+        stays = shared.written(gone.select((F.col("id") + 1).alias("id")), "stays")
+        made.pop()
+    assert stays.count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(made[0])
+    shared.remove(spark, stays.inputFiles()[0].rsplit("/", 1)[0])
