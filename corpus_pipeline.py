@@ -15,7 +15,7 @@ from tessella.llm.packing import pack_documents
 from tessella.llm.pii import sanitise
 from tessella.llm.quality import keep_good
 from tessella.llm.simhash import keep_one_of_each
-from tessella.sources.shared import written
+from tessella.sources.shared import new_path, remove, scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +56,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """What the last stage returns. Once a stage's result is written, the tables it was made
+    from are deleted, so no unmasked text stays behind; the last one's pieces remain, as
+    the result reads them."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with scratch(spark) as made:
+            result = stage(spark, docs, sf_dir)
+            path = new_path(spark, name)
+            result.write.parquet(path)
+            made.remove(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    remove(spark, before)  # packing has written its pieces
+    return packed

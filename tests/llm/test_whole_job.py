@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import brute_force as brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -77,7 +78,7 @@ def test_patterns_against_their_expressions(kind):
     expression, alphabet, fits = (
         (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ab.@-+ 1", lambda m: True),
         (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "0125.. ", lambda m: all(int(x) <= 255 for x in m.split("."))),
-        (r"[0-9]([\x20-]?[0-9])+", "0123456789-  x", lambda m: 16 <= sum(map(str.isdigit, m)) <= 19 and luhn(m)),
+        (r"[0-9]([\x20-]?[0-9])+", "0123456789-  x", lambda m: 16 <= sum(map(str.isdigit, m)) <= 19 and brute.luhn(m)),
         (r"\+[0-9][\x20().0-9-]+[0-9]", "+01 2(3).4-x", lambda m: 8 <= sum(map(str.isdigit, m)) <= 15),
     )[kind]
     weights = np.array([8.0 if c.isdigit() and kind == 2 else 1.0 for c in alphabet])
@@ -87,11 +88,6 @@ def test_patterns_against_their_expressions(kind):
         assert [(a, b) for k, a, b in pii.find_entities(t) if k == kind] == want, t
 
 
-def luhn(text):
-    digits = [int(c) for c in text if c.isdigit()][::-1]
-    return (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
-
-
 def test_stages_pass_columns_of_any_name(spark):
     from tessella.llm import decontam
 
@@ -149,31 +145,6 @@ def test_many_looks_into_one_cell_are_dealt(spark):
     assert dealt.where("cell = 20").isEmpty()  # 01 01 00: none stands there
 
 
-M = (1 << 64) - 1
-
-
-def bucket(h):
-    h = ((h ^ h >> 32) * 0xD6E8FEB86659FD93) & M
-    return 1 + (h ^ h >> 29) % (quality.BUCKETS - 1)
-
-
-def features(word):
-    """The buckets of a word, one feature after another, in Python's numbers."""
-    marked = [ord(c) for c in f"<{word}>"]
-    for n in (2, 3, 4):
-        for i in range(len(marked) - n + 1):
-            h = 0
-            for c in marked[i : i + n]:
-                h = (h * 0x9E3779B97F4A7C15 + c) & M
-            yield bucket((h + n) & M)
-    whole = 0
-    for i, c in enumerate(marked):
-        h = ((c + 1) * 0xD6E8FEB86659FD93 + (len(marked) - i) * 0x9E3779B97F4A7C15) & M
-        h = ((h ^ h >> 31) * 0xD6E8FEB86659FD93) & M
-        whole = (whole + (h ^ h >> 30)) & M
-    yield bucket(whole)
-
-
 @pytest.mark.parametrize("at_once", [7, 1 << 18])
 def test_every_ngram_of_a_token_counts(monkeypatch, at_once):
     monkeypatch.setattr(quality, "_AT_ONCE", at_once)
@@ -181,7 +152,7 @@ def test_every_ngram_of_a_token_counts(monkeypatch, at_once):
     text = f"{word} x {word} \U0001F600y {word} x x x"
     want = Counter()
     for w in text.split():
-        want.update(features(w))
+        want.update(brute.features(w))
     want[0] = 2  # x x x
     found = dict(zip(*(x.tolist() for x in quality.document_features(text))))
     assert found == want
