@@ -415,7 +415,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     tag = (F.col("gram").bitwiseAND(_TAG) * 4 + F.col("crowd")).cast("int")
     listed = found.join(several, "gram").select("_key", "at", tag.alias("tag")).groupBy("_key").agg(F.collect_list(F.struct("at", "tag")).alias("_listed"))
     whole = keyed.where(F.octet_length("_bytes") >= MATCH).select("_key", F.unhex(F.sha2("_bytes", 256)).alias("_digest"))
-    firsts = whole.groupBy("_digest").agg(F.min("_key").alias("_first"), F.max("_key").alias("_last")).where("_first < _last")
+    firsts = written(whole.groupBy("_digest").agg(F.min("_key").alias("_first"), F.max("_key").alias("_last")).where("_first < _last"), "copies")
     copies = whole.join(firsts, "_digest").where("_key > _first").groupBy("_key").agg(F.collect_set("_digest").alias("_copies"))
     # with the id, so that this side and the last join's are dealt out once for both
     contexts = keyed.join(listed.join(copies, "_key", "left"), "_key").mapInArrow(_cut_contexts(), "gram long, part long, _key long, at int, left int, context binary")
