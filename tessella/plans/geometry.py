@@ -9,11 +9,11 @@ from tessella.functions.boxes import clipped, conflicts, four_pixel_bin, hbb_lin
 from tessella.plans.registry import query, table
 
 _BOXES_SQL = """b as (select l_orderkey as image, l_partkey as a, l_suppkey as s, l_linenumber as slot, (l_partkey % 97)::int as x1, (l_suppkey % 89)::int as y1,
-  (l_partkey % 97 + 8 + l_quantity)::int as x2, (l_suppkey % 89 + 8 + (l_partkey * 7) % 40)::int as y2 from lineitem where l_orderkey % 4 = 0)"""
+  (l_partkey % 97 + 8 + l_quantity)::int as x2, (l_suppkey % 89 + 8 + (l_partkey * 7) % 40)::int as y2 from lineitem)"""
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = table(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 0")
+    line = table(spark, sf_dir, "lineitem")
     return line.select(
         F.col("l_orderkey").alias("image"), F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("s"), F.col("l_linenumber").alias("slot"),
         (F.col("l_partkey") % 97).cast("int").alias("x1"), (F.col("l_suppkey") % 89).cast("int").alias("y1"),
@@ -74,7 +74,7 @@ def iou_greedy_nms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with recursive o as (select l_orderkey as image, l_quantity as v, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) as rn from lineitem where l_orderkey % 3 = 0),
+with recursive o as (select l_orderkey as image, l_quantity as v, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) as rn from lineitem),
 g as (select image, rn, case when v <= 60 then v else 0 end as total, case when v <= 60 then 1 else 0 end as n from o where rn = 1
   union all select o.image, o.rn, case when g.total + o.v <= 60 then g.total + o.v else g.total end, case when g.total + o.v <= 60 then g.n + 1 else g.n end from g join o on o.image = g.image and o.rn = g.rn + 1)
 select image, max(total) as used, max(n)::int as accepted from g group by image
@@ -83,17 +83,17 @@ def budget_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows accepted in order while the budget holds; one that would exceed it is skipped."""
     from tessella.operators.folds import budget
 
-    line = table(spark, sf_dir, "lineitem").where("l_orderkey % 3 = 0")
+    line = table(spark, sf_dir, "lineitem")
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     return budget(line, "l_orderkey", order, "l_quantity", 60.0).select(F.col("l_orderkey").alias("image"), F.col("fold.used").alias("used"), F.col("fold.n").alias("accepted"))
 
 
 @query("""
-with d as (select l_linenumber as c, l_orderkey as image, l_partkey as a, case l_linenumber % 3 when 0 then 600 when 1 then 800 else 1024 end as w, l_partkey % 400 as x, l_quantity::int as q from lineitem where l_orderkey % 10 = 0)
+with d as (select l_linenumber as c, l_orderkey as image, l_partkey as a, case l_linenumber % 3 when 0 then 600 when 1 then 800 else 1024 end as w, l_partkey % 400 as x, l_quantity::int as q from lineitem)
 select image, a, c || ' ' || printf('%.6f', (x + x + q) / 2.0::double / w) || ' ' || printf('%.6f', (x / 2 + x / 2 + q) / 2.0::double / w) || ' ' || printf('%.6f', q::double / w) || ' ' || printf('%.6f', q::double / w) as line from d
 """)
 def yolo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = table(spark, sf_dir, "lineitem").where("l_orderkey % 10 = 0")
+    line = table(spark, sf_dir, "lineitem")
     d = line.select(
         F.col("l_linenumber").alias("c"), F.col("l_orderkey").alias("image"), F.col("l_partkey").alias("a"),
         F.when(F.col("l_linenumber") % 3 == 0, 600).when(F.col("l_linenumber") % 3 == 1, 800).otherwise(1024).alias("w"),
@@ -104,14 +104,14 @@ def yolo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with d as (select l_orderkey as image, l_partkey as a, l_quantity - 30.5 as x, l_linenumber * 0.25 as y, l_tax * 100 as w, l_discount * 10 as h from lineitem where l_orderkey % 10 = 1),
+with d as (select l_orderkey as image, l_partkey as a, l_quantity - 30.5 as x, l_linenumber * 0.25 as y, l_tax * 100 as w, l_discount * 10 as h from lineitem),
 c as (select *, least(greatest(floor(x), 0), 15)::bigint as x1, least(greatest(floor(y), 0), 15)::bigint as y1 from d)
 select image, a, x1, y1, greatest(least(ceil(round(x + w, 6)), 16), x1 + 1)::bigint as x2, greatest(least(ceil(round(y + h, 6)), 16), y1 + 1)::bigint as y2,
        round(sqrt(w * h), 6) as size, greatest(4, round_even(w / 4, 0)::int * 4) as binned, round_even(x / 8, 0) as cell from c
 """)
 def clipped_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes clipped outward to a 16-pixel image, their size, 4-pixel bin and 8-pixel cell."""
-    d = table(spark, sf_dir, "lineitem").where("l_orderkey % 10 = 1").select(
+    d = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("image"), F.col("l_partkey").alias("a"), (F.col("l_quantity") - 30.5).alias("x"), (F.col("l_linenumber") * F.lit(0.25)).alias("y"),
         (F.col("l_tax") * 100).alias("w"), (F.col("l_discount") * 10).alias("h"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.operators.ordering import exact_quantiles
 from tessella.plans.registry import query, table
 
 
@@ -14,21 +15,18 @@ used as (
   select p_type as class_name, count(*) as instances, count(distinct l_orderkey) as images_with_class,
          count(distinct l_partkey) as used_cases
   from lineitem join part on l_partkey = p_partkey
-  where l_returnflag = 'R' and l_shipdate >= timestamp '1995-01-01' and l_shipdate < timestamp '1995-02-01'
   group by p_type)
 select class_name, pool_cases, coalesce(used_cases, 0) as used_cases, pool_cases - coalesce(used_cases, 0) as unused_cases,
        coalesce(images_with_class, 0) as images_with_class, coalesce(instances, 0) as instances
 from pool left join used using (class_name)
 """)
 def inventory_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per class: pool, distinct used and unused cases, images that hold it, instances (one month's returns)."""
+    """Per class: pool, distinct used and unused cases, images that hold it, instances."""
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("class_name"))
-    month = table(spark, sf_dir, "lineitem").where(
-        "l_returnflag = 'R' and l_shipdate >= timestamp_ntz '1995-01-01' and l_shipdate < timestamp_ntz '1995-02-01'"
-    )
+    line = table(spark, sf_dir, "lineitem")
     pool = part.groupBy("class_name").agg(F.count("*").alias("pool_cases"))
     used = (
-        month.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        line.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("class_name")
         .agg(
             F.count("*").alias("instances"),
@@ -53,10 +51,10 @@ def _instances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("select coalesce(p_type, 'TOTAL') as class_name, count(*) as instances, count(distinct l_orderkey) as images "
-       "from lineitem join part on l_partkey = p_partkey where l_returnflag = 'R' group by rollup(p_type)")
+       "from lineitem join part on l_partkey = p_partkey group by rollup(p_type)")
 def inventory_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grouped counts with a totals row; the class column is never null in the pool."""
-    line = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select("l_orderkey", "l_partkey")
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     return (
         line.join(part, "l_partkey")
@@ -132,18 +130,18 @@ def pass_rate_by_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 select p_brand as class_name, count(*) as n, round(quantile_cont(l_extendedprice, 0.1), 6) as p10,
        round(quantile_cont(l_extendedprice, 0.5), 6) as p50, round(quantile_cont(l_extendedprice, 0.9), 6) as p90
-from lineitem join part on l_partkey = p_partkey where l_quantity > 48 group by p_brand having count(*) >= 5
+from lineitem join part on l_partkey = p_partkey group by p_brand having count(*) >= 5
 """)
 def size_quantiles_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact interpolated quantiles of classes with at least five values."""
-    line = table(spark, sf_dir, "lineitem").where("l_quantity > 48").select(F.col("l_partkey").alias("p_partkey"), "l_extendedprice")
-    q = line.join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), "p_partkey").groupBy(F.col("p_brand").alias("class_name"))
-    q = q.agg(F.count("*").alias("n"), F.percentile("l_extendedprice", [0.1, 0.5, 0.9]).alias("q")).where("n >= 5")
+    line = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_extendedprice")
+    rows = line.join(table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("class_name")), "p_partkey")
+    q = exact_quantiles(rows, "class_name", "l_extendedprice", [0.1, 0.5, 0.9]).where("n >= 5")
     return q.select("class_name", "n", *(F.round(F.get("q", F.lit(i)), 6).alias(p) for i, p in enumerate(("p10", "p50", "p90"))))
 
 
 @query("""
-with v as (select s_nationkey as class_key, sqrt(l_extendedprice) as x from lineitem join supplier on l_suppkey = s_suppkey where l_quantity = 1),
+with v as (select s_nationkey as class_key, sqrt(l_extendedprice) as x from lineitem join supplier on l_suppkey = s_suppkey),
 w as (select class_key, x, count(*) over p as n, quantile_cont(x, 0.1) over p as lo, quantile_cont(x, 0.9) over p as hi from v window p as (partition by class_key)),
 f as (select class_key, any_value(n) as n, count(*) as fit_n, avg(x) as mean, stddev_samp(x) as sd, stddev_pop(x) as sd_pop, min(x) as least, max(x) as most
       from w where n < 10 or x between lo and hi group by class_key)
@@ -159,9 +157,9 @@ def trimmed_scale_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     The deciles come from one aggregate that is joined back, not from a window that holds
     a class's rows. Variation is of the sample; cv_pop is that of the population.
     """
-    line = table(spark, sf_dir, "lineitem").where("l_quantity = 1").select(F.col("l_suppkey").alias("s_suppkey"), F.sqrt("l_extendedprice").alias("x"))
+    line = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), F.sqrt("l_extendedprice").alias("x"))
     v = line.join(table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("class_key")), "s_suppkey").select("class_key", "x")
-    q = v.groupBy("class_key").agg(F.count("*").alias("n"), F.percentile("x", [0.1, 0.9]).alias("q"))
+    q = exact_quantiles(v, "class_key", "x", [0.1, 0.9])
     kept = v.join(q, "class_key").where((F.col("n") < 10) | F.col("x").between(F.get("q", F.lit(0)), F.get("q", F.lit(1))))
     f = kept.groupBy("class_key", "n").agg(
         F.count("*").alias("fit_n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"), F.stddev_pop("x").alias("sd_pop"), F.min("x").alias("least"), F.max("x").alias("most")
@@ -178,7 +176,8 @@ def trimmed_scale_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def median_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_extendedprice")
     joined = line.join(table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("class_name")), "p_partkey")
-    return joined.groupBy("class_name").agg(F.round(F.median("l_extendedprice"), 6).alias("median_price"))
+    q = exact_quantiles(joined, "class_name", "l_extendedprice", [0.5])
+    return q.select("class_name", F.round(F.get("q", F.lit(0)), 6).alias("median_price"))
 
 
 @query("select uses, count(*) as crops, (uses - 1) * count(*) as repeats from (select l_partkey, count(*) as uses from lineitem group by l_partkey) group by uses")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessella.operators.contained import containing
 from tessella.plans.registry import query, table
 
 
@@ -107,10 +108,10 @@ select p.role, coalesce(q.next_role, 'none') as next_role, count(*) as pairs fro
 """)
 def positional_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The i-th row of one side with the i-th of the other, position within the conversation."""
-    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
-    p = turns.select("conv_id", F.posexplode("t").alias("pos", "x")).select("conv_id", "pos", F.col("x.role").alias("role"))
-    q = p.select("conv_id", (F.col("pos") - 1).alias("pos"), F.col("role").alias("next_role"))
-    return p.join(q, ["conv_id", "pos"], "left").groupBy("role", F.coalesce("next_role", F.lit("none")).alias("next_role")).agg(F.count("*").alias("pairs"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    # the other side's i-th row is this side's next one, so one sorted stream pairs them
+    p = turns.withColumn("next_role", F.lead("role").over(Window.partitionBy("conv_id").orderBy("turn")))
+    return p.groupBy("role", F.coalesce("next_role", F.lit("none")).alias("next_role")).agg(F.count("*").alias("pairs"))
 
 
 @query("""
@@ -127,11 +128,11 @@ def lookup_with_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 select o_custkey as background, count(distinct o_orderkey) as images, count(l_orderkey) as annotations, count(distinct o_orderkey) filter (l_orderkey is null) as empty_images
-from orders left join lineitem on l_orderkey = o_orderkey where o_custkey % 7 = 0 group by o_custkey having count(distinct o_orderkey) >= 2
+from orders left join lineitem on l_orderkey = o_orderkey group by o_custkey having count(distinct o_orderkey) >= 2
 """)
 def images_with_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Images outer-joined to their annotations, for backgrounds with at least two images."""
-    o = table(spark, sf_dir, "orders").where("o_custkey % 7 = 0").select("o_orderkey", "o_custkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     n = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
     return o.join(n, "o_orderkey", "left").groupBy(F.col("o_custkey").alias("background")).agg(
         F.count_distinct("o_orderkey").alias("images"), F.coalesce(F.sum("n"), F.lit(0)).alias("annotations"), F.count_distinct(F.when(F.col("n").isNull(), F.col("o_orderkey"))).alias("empty_images")
@@ -166,17 +167,11 @@ def isolation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 select d.lang, d.source, count(distinct d.doc_id) as documents, count(distinct b.item_id) as items from documents d join benchmark b on contains(d.text, b.text) group by all
 """)
 def benchmark_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that contain a whole benchmark text.
-
-    Texts meet on their first word, so only documents with that word are searched.
-    """
-    word = lambda c: F.split(c, r"\s+")
-    items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item"), F.get(F.filter(word("text"), lambda w: w != ""), F.lit(1)).alias("word"))
+    """Documents that contain a whole benchmark text: one walk over each, nothing shuffled
+    but what was found."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
-    wanted = items.select("word").distinct()
-    words = docs.select("doc_id", F.explode(F.array_distinct(word("text"))).alias("word")).join(wanted, "word", "left_semi")
-    found = words.join(items, "word").join(docs, "doc_id").where(F.contains("text", "item"))
-    return found.groupBy("lang", "source").agg(F.count_distinct("doc_id").alias("documents"), F.count_distinct("item_id").alias("items"))
+    found = containing(docs, table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text", ("lang", "source"))
+    return found.groupBy("lang", "source").agg(F.count_distinct("doc_id").alias("documents"), F.count_distinct("item").alias("items"))
 
 
 @query("""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessella.operators.ordering import with_position
 from tessella.plans.registry import query, table
 
 _RN = "row_number() over"
@@ -69,8 +70,8 @@ select sheet, idx // 120 as page, count(*) as cells, max(idx % 120) as last_slot
 """)
 def page_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of 120 cells per sheet; slot and variant follow from the index."""
-    idx = F.row_number().over(Window.partitionBy("o_orderpriority").orderBy("o_orderkey")) - 1
-    r = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("sheet"), idx.cast("long").alias("idx"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("sheet"))
+    r = with_position(orders, ["o_orderkey"], within="sheet").select("sheet", F.col("position").alias("idx"))
     return r.groupBy("sheet", F.floor(F.col("idx") / 120).alias("page")).agg(
         F.count("*").alias("cells"), F.max(F.pmod("idx", F.lit(120))).alias("last_slot"), F.max(F.pmod("idx", F.lit(7)) + 1).alias("variants")
     )
@@ -91,9 +92,14 @@ def first_seen_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sha_mod(column: Column, n: int) -> Column:
-    """int(sha256(column), 16) % n, digit by digit (Horner), as 256 bits fit no number type."""
-    digits = F.transform(F.sequence(F.lit(1), F.lit(64)), lambda p: F.conv(F.substring(F.sha2(column, 256), p, F.lit(1)), 16, 10).cast("int"))
-    return F.aggregate(digits, F.lit(0), lambda a, d: F.pmod(a * 16 + d, F.lit(n)))
+    """int(sha256(column), 16) % n for n up to 2**31: eight pieces of 32 bits (Horner), as 256
+    bits fit no number type. The digest stands in an array, so it is computed once."""
+
+    def fold(h):
+        part = lambda p: F.conv(F.substring(h, p, F.lit(8)), 16, 10).cast("long")
+        return F.aggregate(F.sequence(F.lit(1), F.lit(57), F.lit(8)), F.lit(0).cast("long"), lambda a, p: F.pmod(a * F.lit(1 << 32) + part(p), F.lit(n).cast("long")))
+
+    return F.get(F.transform(F.array(F.sha2(column, 256)), fold), F.lit(0)).cast("int")
 
 
 @query("""
@@ -141,14 +147,13 @@ def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-with r as (select p_partkey, {_RN} (order by {_UNIFORM_SQL.format("'s|' || p_partkey")}, p_partkey) - 1 as k from part where p_brand = (select min(p_brand) from part))
+with r as (select p_partkey, {_RN} (order by {_UNIFORM_SQL.format("'s|' || p_partkey")}, p_partkey) - 1 as k from part)
 select slot.i as slot, p_partkey, 1 + floor({_UNIFORM_SQL.format("'c|' || slot.i")} * 6)::bigint as request from range(0, 500) slot(i) join r on r.k = slot.i % (select count(*) from r)
 """)
 def cycle_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """500 slots from one pool: each once in hashed order, then round again; and a request of 1 to 6."""
     part = table(spark, sf_dir, "part")
-    brand = part.agg(F.min("p_brand").alias("p_brand"))
-    pool = part.join(F.broadcast(brand), "p_brand").select(F.struct(uniform(F.lit("s"), F.col("p_partkey").cast("string")).alias("u"), "p_partkey").alias("x"))
+    pool = part.select(F.struct(uniform(F.lit("s"), F.col("p_partkey").cast("string")).alias("u"), "p_partkey").alias("x"))
     # at most 500 of the pool can be taken, so the list is bounded
     first = pool.orderBy("x.u", "x.p_partkey").limit(500).agg(F.array_sort(F.collect_list("x")).alias("a"))
     slots = spark.range(500).withColumnRenamed("id", "slot").crossJoin(F.broadcast(first))
@@ -163,7 +168,7 @@ def capped_at_half_of_heldout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-with r as (select l_orderkey, {_RN} (order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) - 1 as k from lineitem where l_returnflag = 'A')
+with r as (select l_orderkey, {_RN} (order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) - 1 as k from lineitem)
 select k // 5000 as volume, count(*) as rows, min(l_orderkey) as first_key, max(l_orderkey) as last_key, printf('train__%05d', min(k)) as first_name from r group by 1
 """)
 def tar_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,10 +177,9 @@ def tar_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     The global position is the position in a range partition plus the rows of the
     partitions before it, so no task sees all rows.
     """
-    from tessella.operators.ordering import with_position
     from tessella.sources.sinks import volume
 
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
-    r = with_position(table(spark, sf_dir, "lineitem").where("l_returnflag = 'A'").select(*keys), keys)
+    r = with_position(table(spark, sf_dir, "lineitem").select(*keys), keys)
     v = r.groupBy(volume(F.col("position")).alias("volume"))
     return v.agg(F.count("*").alias("rows"), F.min("l_orderkey").alias("first_key"), F.max("l_orderkey").alias("last_key"), F.format_string("train__%05d", F.min("position")).alias("first_name"))
