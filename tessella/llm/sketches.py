@@ -26,8 +26,8 @@ from tessella.llm.common import Memo, byte_batches, table, whole_number_ids
 SHINGLE = 5
 #: A 32-bit shingle hash is kept if it is below 2**32 / KEEP_ONE_IN.
 KEEP_ONE_IN = 4
-#: Bytes of text in a range of documents, and the most ranges there may be.
-RANGE_BYTES, MAX_RANGES = 16 << 20, 50_000
+#: Bytes of text in a range of documents, the most ranges there may be, and how many go to a task.
+RANGE_BYTES, MAX_RANGES, RANGES_A_TASK = 1 << 20, 50_000, 8
 #: Places sampled for each range.
 _SAMPLED = 40
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -166,7 +166,7 @@ def compare_with_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: s
     ignored, whatever their names; an empty table gives an empty result.
 
     Rows are cut into ranges of about range_bytes by id and hash; the texts are shuffled
-    once, by range, and sorted there. The first row of a range is also sent to the range
+    once, some ranges to a task, and sorted there. The first row of a range is also sent to the range
     before it, whose last row needs it. Only a sample of places and the ranges' first
     places come to the driver. A range is streamed, so rows that are all equal, which no
     order can part, make a long one but not a large one.
@@ -194,7 +194,7 @@ def compare_with_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: s
     copies = keyed.join(heads, ["down", "salt"]).dropDuplicates(["range"])
     columns = ("id", "down", "salt", "text", "range")
     sent = placed.select(*columns, F.lit(False).alias("copy")).unionByName(copies.select(*columns, F.lit(True).alias("copy")))
-    sent = sent.repartition(ranges, "range").sortWithinPartitions("range", "copy", "down", "salt", "text")
+    sent = sent.repartition(-(-ranges // RANGES_A_TASK) if ranges < MAX_RANGES else ranges, "range").sortWithinPartitions("range", "copy", "down", "salt", "text")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def compare(batches):
