@@ -16,7 +16,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +33,7 @@ NEAR_WORDS, NEAR_CHARS = 5, 80
 LEAST_TEXTS, DISCLOSED = 3, 0.5
 #: Candidate terms up to which their set is broadcast for counting; beyond it all terms are counted.
 BROADCAST_TERMS = 100_000
+_HELD_COUNTS = 500_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -146,47 +147,55 @@ def disclosed_terms(found: DataFrame, docs: DataFrame, text_col: str = "text", l
     found: rows with `near` and `content`; docs: the whole corpus, in which the terms are
     counted. entity is entity_key(), or the kind's number for a term that discloses no
     single entity but its kind. Copies of one text count once, near an entity and in the corpus, so they
-    neither disclose a term by themselves nor hide one. Copies are folded, and then counts
-    combined, before they are shuffled.
+    neither disclose a term by themselves nor hide one. Counts are combined in each task
+    before they are shuffled; of the texts themselves only those with copies are.
     """
     near = found.select("content", F.explode("near").alias("n")).select("content", "n.term", F.explode(F.array("n.entity", "n.kind")).alias("entity"))
     pairs = written(
         near.groupBy("term", "entity").agg(F.count_distinct("content").alias("texts")).where(F.col("texts") >= least_texts), "near-terms"
     )
-    terms = written(pairs.select("term").distinct(), "candidate-terms")
+    # a term in more texts than `most` discloses nothing
+    terms = written(pairs.groupBy("term").agg(F.floor(F.max("texts") / disclosed).alias("most")), "candidate-terms")
     few = terms.count() <= broadcast_terms
-    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(r["term"] for r in terms.collect()) if few else None)
+    wanted = docs.sparkSession.sparkContext.broadcast({r["term"]: r["most"] for r in terms.collect()} if few else None)
 
     def count(batches):
+        """(term, n): in how many texts of the task each term stands. Counting a candidate
+        ends one beyond its most, as its sum over tasks then is beyond it too."""
         import pyarrow as pa
 
-        only = wanted.value
-        if only is not None and not only:
+        def counted():
+            return pa.record_batch([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["term", "n"])
+
+        most = wanted.value
+        if most is not None and not most:
             return
+        counts: Counter = Counter()
+        open_terms = None if most is None else set(most)
         for whole in batches:
             for batch in byte_batches(whole, "text"):
-                held: dict[int, list[str]] = {}
                 for t in batch.column("text").to_pylist():
-                    key = content_key(t) if t else None
-                    if key is None or key in held:
-                        continue
                     words = set(map(str.lower, set(_WORD.findall(t))))
-                    held[key] = list(words if only is None else only.intersection(words))
-                held = {k: w for k, w in held.items() if w}
-                yield pa.record_batch([pa.array(held.keys(), pa.int64()), pa.array(held.values(), pa.list_(pa.string()))], ["content", "terms"])
-
-    texts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "content long, terms array<string>").dropDuplicates(["content"])
-
-    def combine(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            counts = Counter(chain.from_iterable(batch.column("terms").to_pylist()))
-            yield pa.record_batch([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["term", "n"])
-
-    counts = texts.select("terms").mapInArrow(combine, "term string, n long")
+                    if open_terms is not None:
+                        words &= open_terms
+                    counts.update(words)
+                    if open_terms is not None:
+                        open_terms.difference_update([w for w in words if counts[w] > most[w]])
+                if open_terms is None and len(counts) > _HELD_COUNTS:
+                    yield counted()
+                    counts.clear()
+        yield counted()
+
+    key = F.xxhash64("text").alias("content")
+    texts = docs.select(F.col(text_col).alias("text")).where(F.length("text") > 0)
+    keyed = texts.select("text", key)
+    # texts that stand alone are counted where they are; only those with copies are moved, and folded
+    copied = written(texts.select(key).groupBy("content").agg(F.count("*").alias("n")).where("n > 1").select("content"), "copied-texts")
+    alone = keyed.join(copied, "content", "left_anti").select("text")
+    folded = keyed.join(copied, "content", "left_semi").dropDuplicates(["content"]).select("text")
+    counts = alone.mapInArrow(count, "term string, n long").unionByName(folded.mapInArrow(count, "term string, n long"))
     if not few:
-        counts = counts.join(terms, "term", "left_semi")
+        counts = counts.join(terms, "term", "left_semi").select("term", "n")
     totals = counts.groupBy("term").agg(F.sum("n").alias("n"))
     posterior = F.col("texts") / F.col("n")
     flagged = written(pairs.join(totals, "term").select("term", "entity", posterior.alias("posterior")).where(F.col("posterior") >= disclosed), "posteriors")
@@ -197,7 +206,7 @@ def disclosed_terms(found: DataFrame, docs: DataFrame, text_col: str = "text", l
 
 def _places(text: str, entities: list[tuple[int, int, int]], only: frozenset | None) -> list[dict]:
     """The words of the whole text that are part of no entity: those among `only`, or all."""
-    if only is not None and only.isdisjoint(map(str.lower, set(_WORD.findall(text)))):
+    if only is not None and (not only or only.isdisjoint(map(str.lower, set(_WORD.findall(text))))):
         return []
     taken = sorted((a, b) for _, a, b in entities)
     starts, ends = [a for a, _ in taken], [0, *accumulate((b for _, b in taken), max)]
