@@ -14,7 +14,9 @@ import os
 import re
 import unicodedata
 from array import array
+from itertools import chain, islice
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +52,8 @@ class ChunkEncoder:
     character and the white space after it, a text's ids are its chunks' ids one after
     another. Chunks repeat, so a bounded memory of them spares most of the work. For
     any other file the whole text is one chunk. Chunks themselves always go through
-    the library, special strings included.
+    the library, special strings included; where an id tells that it ends a word, words
+    of letters go through it together.
     """
 
     def __init__(self, path: str, keep_ids: bool):
@@ -61,30 +64,47 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as f:
-            self.kind = _kind(json.load(f))
+            spec = json.load(f)
+        self.kind = _kind(spec)
+        self.word_end = None
+        suffix = spec["model"].get("end_of_word_suffix")
+        if self.kind == "separate" and suffix:
+            vocabulary = self.tokenizer.get_vocab(True)
+            self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.word_end[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.keep_ids = keep_ids
-        self.young: dict = {}
-        self.old: dict = {}
+        self.known: dict = {}
         self.held = 0
 
     def encode(self, text: str) -> list:
         """For each chunk its number of ids, or its ids as little-endian uint32 bytes."""
         keys = self._chunks(text)
         try:
-            return [*map(self.young.__getitem__, keys)]
+            return [*map(self.known.__getitem__, keys)]
         except KeyError:
             pass
-        if self.held > REMEMBERED_BYTES // 2:
-            self.old, self.young, self.held = self.young, {}, 0
-        young = self.young
-        passing = self._add(set(keys).difference(young))
-        out = [*map(young.__getitem__, keys)]
-        for k in passing:
-            del young[k]
+        if self.held > REMEMBERED_BYTES:
+            # the later half stays; what is frequent is soon there again
+            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+            self.held -= self.held // 2
+        known = self.known
+        missing = set(keys).difference(known)
+        before = len(known)
+        new = self._add(missing)
+        out = [*map(known.__getitem__, keys)]
+        length = sum(map(len, new))
+        self.held += 2 * length + _EACH * (len(known) - before)
+        if length > LONG:
+            for k in [k for k in missing.union(new) if len(k) > LONG]:
+                del known[k]
+                self.held -= 2 * len(k) + _EACH
         return out
 
     def _chunks(self, text: str) -> list[str]:
         if self.kind == "separate":
+            if "<|" not in text:
+                # A-Z fall to lower case anyhow, before or after composition (a special string mustn't)
+                text = text.encode().lower().decode()
             return text.replace("\n", " ").split(" ")
         if self.kind == "leading" and not _DOUBTFUL.search(text):
             if "  " in text or "\n " in text or " \n" in text or "\n\n" in text or _OTHER_SPACE.search(text):
@@ -95,36 +115,46 @@ class ChunkEncoder:
         return [text]
 
     def _add(self, missing: set) -> list[str]:
-        """Holds missing chunks and their parts; returns those that are too long to be kept."""
-        young, old = self.young, self.old
-        before = len(young)
-        known = [k for k in missing if k in old]
-        young.update((k, old[k]) for k in known)
-        missing.difference_update(known)
+        """Holds missing chunks and their parts; returns the parts."""
+        known = self.known
         rest = [(k, self._parts(k)) for k in missing]
-        new = list(dict.fromkeys(p for _, parts in rest for p in parts if p not in young))
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        young.update(zip(new, [array("I", e.ids).tobytes() for e in encoded] if self.keep_ids else map(len, encoded)))
+        new = list(dict.fromkeys(p for _, parts in rest for p in parts if p not in known))
+        alone = new
+        if self.word_end is not None:
+            plain = [p for p in new if p.isalpha() and (p.isascii() or not _CHANGED.search(p))]
+            values = self._together(plain) if plain else None
+            if values is not None:
+                known.update(zip(plain, values))
+                alone = [p for p in new if p not in known] if len(plain) < len(new) else []
+        if alone:
+            encoded = self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)
+            known.update(zip(alone, [array("I", e.ids).tobytes() for e in encoded] if self.keep_ids else map(len, encoded)))
         for k, parts in rest:
             if len(parts) > 1:
-                young[k] = young[parts[0]] + young[parts[1]]
+                known[k] = known[parts[0]] + known[parts[1]]
             elif parts[0] != k:
-                young[k] = young[parts[0]]
-        every = missing.union(known, new)
-        self.held += 2 * sum(map(len, every)) + _EACH * (len(young) - before)
-        passing = [k for k in every if len(k) > LONG]
-        self.held -= sum(2 * len(k) + _EACH for k in passing)
-        return passing
+                known[k] = known[parts[0]]
+        return new
+
+    def _together(self, words: list[str]) -> list | None:
+        """Ids (or their numbers) of words of letters, encoded as one text. Each ends with an id
+        that ends a word; if there are more or fewer of those than words, None."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.word_end[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return None
+        if not self.keep_ids:
+            return np.diff(ends, prepend=0).tolist()
+        body, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [body[a:b] for a, b in zip(edges, edges[1:])]
 
     def _parts(self, k: str) -> tuple:
-        """A chunk without what surely is a token boundary or falls to lower case anyhow."""
+        """A chunk, cut where a token boundary surely is."""
         if self.kind == "whole":
             return (k,)
         tail = ()
         if k[-1:] in (".", ",") and _one_letter(k[-2:-1]):
             k, tail = k[:-1], (k[-1],)
-        if self.kind == "separate" and "A" <= k[:1] <= "Z" and k[1:2].isascii():
-            k = k[0].lower() + k[1:]
         return (k, *tail)
 
 
@@ -136,6 +166,10 @@ def _one_letter(c: str) -> bool:
     return len(plain) == 1 and c.isalpha() and plain.isalpha()
 
 
+#: Letters that aren't one letter once normalised.
+_CHANGED = re.compile("[" + "".join(c for c in map(chr, chain(range(0xD800), range(0xE000, 0x110000))) if c.isalpha() and not _one_letter(c)) + "]")
+
+
 def _kind(spec: dict) -> str:
     if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or re.search(r"\s", t["content"]) for t in spec["added_tokens"]):
         return "whole"
