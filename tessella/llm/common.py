@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -13,8 +16,8 @@ def byte_batches(batch, name: str = "text", limit: int = 4 << 20):
     """Slices of an Arrow batch with about `limit` bytes in a string column each.
 
     Python and NumPy working sets follow the bytes of a slice, so they stay bounded
-    however many long texts Spark puts into one batch. After a batch, memory that Arrow
-    holds for reuse goes back to the system, as workers outlive their tasks.
+    however many long texts Spark puts into one batch. After a batch, memory that Arrow and
+    malloc hold for reuse goes back to the system, as workers outlive their tasks.
     """
     n = batch.num_rows
     if not n:
@@ -33,6 +36,21 @@ def byte_batches(batch, name: str = "text", limit: int = 4 << 20):
     yield batch.slice(start, n - start)
     if sizes.sum() > limit:
         pa.default_memory_pool().release_unused()
+        _give_back()
+
+
+@functools.cache
+def _trim():
+    """The C library's malloc_trim, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return None
+
+
+def _give_back() -> None:
+    if (trim := _trim()) is not None:
+        trim(0)
 
 
 def signed(values):
@@ -76,7 +94,7 @@ class Memo(dict):
 
     LONG = 200
 
-    def __init__(self, fill, limit: int = 48 << 20, each: int = 150):
+    def __init__(self, fill, limit: int = 24 << 20, each: int = 150):
         super().__init__()
         self.fill, self.limit, self.each, self.held = fill, limit, each, 0
 

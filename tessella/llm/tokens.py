@@ -26,10 +26,10 @@ from tessella.sources.shared import new_path, written
 
 BYTE_BPE = "byte_bpe_50k.json"
 
-#: Bytes of chunks and ids that one worker remembers (some 700,000); beyond it half of them are
-#: forgotten. With a third of that, a worker takes half as long again.
+#: Bytes of chunks and ids that one worker remembers (some 500,000); beyond it half of them are
+#: forgotten. With half of that, a worker takes half as long again.
 #: Chunks of more than LONG characters are not remembered.
-REMEMBERED_BYTES, LONG = 144 << 20, 200
+REMEMBERED_BYTES, LONG = 112 << 20, 200
 #: What an entry takes besides its characters.
 _EACH = 200
 _ANY_SPACE = re.compile(r"\s*\S+|\s+")
@@ -85,7 +85,8 @@ class ChunkEncoder:
             pass
         if self.held > REMEMBERED_BYTES:
             # the later half stays; what is frequent is soon there again
-            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+            for k in [*islice(self.known, len(self.known) // 2)]:
+                del self.known[k]
             self.held -= self.held // 2
         known = self.known
         missing = set(keys).difference(known)
