@@ -40,7 +40,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document goes in the training sequences."""
-    return pack_documents(docs)
+    # the stages share their workers, so this one holds fewer chunks
+    return pack_documents(docs, remembered=24 << 20)
 
 
 STAGES = [

@@ -107,7 +107,7 @@ def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple
 
 
 def tokenized(
-    docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
+    docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, remembered: int | None = None
 ) -> DataFrame:
     """Pieces of every document: (id, piece, start, length, ids_crc32[, ids binary]).
 
@@ -123,7 +123,7 @@ def tokenized(
     def cut(batches):
         import pyarrow as pa
 
-        enc, end, wide = encoder(path, True), end_id.to_bytes(4, "little"), 4 * capacity
+        enc, end, wide = encoder(path, True, remembered), end_id.to_bytes(4, "little"), 4 * capacity
         for whole in batches:
             for batch in byte_batches(whole):
                 row, piece, length, crc, ids = [], [], [], [], []
@@ -189,9 +189,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = (
     return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """Documents as pieces with their places, and with the ids themselves if with_ids."""
-    return pack(written(tokenized(docs, tokenizer, capacity=capacity, with_ids=with_ids), "pieces"), capacity)
+def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = False, remembered: int | None = None) -> DataFrame:
+    """Documents as pieces with their places, and with the ids themselves if with_ids.
+
+    remembered bounds the bytes of chunks that a worker holds, where other steps share it.
+    """
+    return pack(written(tokenized(docs, tokenizer, capacity=capacity, with_ids=with_ids, remembered=remembered), "pieces"), capacity)
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import byte_batches, table
+from tessella.llm.common import byte_batches, schema_of, table
 from tessella.sources.shared import written
 
 KINDS = ("email", "ip", "card", "phone")
@@ -215,16 +215,20 @@ def _places(text: str, entities: list[tuple[int, int, int]], only: frozenset | N
     return [{"term": w, "start": a, "end": b} for w, a, b in words if (only is None or w in only) and ends[bisect_left(starts, b)] <= a]
 
 
-def _everywhere(docs: DataFrame, text_col: str, keep: list[str], flagged: DataFrame, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
-    """(keep..., entities, terms) with every occurrence of a flagged term in every row.
-
-    Terms are at most NEAR_CHARS characters long, so broadcast_terms bounds the broadcast
-    set; a larger set is joined with the words of all texts.
-    """
+def _disclosed_anywhere(docs: DataFrame, text_col: str, thresholds: dict):
+    """(terms, few, wanted): the terms that disclose something in docs, whether they are at
+    most broadcast_terms, and if so the broadcast set of them (else a broadcast None). Terms are at most
+    NEAR_CHARS characters long, so their number bounds the set."""
+    near = written(_scanned(docs, text_col, []).where(F.size("near") > 0), "near")
+    flagged = disclosed_terms(near, docs, text_col, **thresholds)
     terms = written(flagged.select("term").distinct(), "flagged-terms")
-    few = terms.count() <= broadcast_terms
-    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(r["term"] for r in terms.collect()) if few else None)
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    few = terms.count() <= thresholds.get("broadcast_terms", BROADCAST_TERMS)
+    return terms, few, docs.sparkSession.sparkContext.broadcast(frozenset(r["term"] for r in terms.collect()) if few else None)
+
+
+def _everywhere(docs: DataFrame, text_col: str, keep: list[str], thresholds: dict) -> DataFrame:
+    """(keep..., entities, terms) with every occurrence of a disclosed term in every row."""
+    terms, few, wanted = _disclosed_anywhere(docs, text_col, thresholds)
 
     def scan(batches):
         import pyarrow as pa
@@ -243,7 +247,7 @@ def _everywhere(docs: DataFrame, text_col: str, keep: list[str], flagged: DataFr
                 yield pa.record_batch([*(batch.column(c) for c in keep), pa.array(found, entity), pa.array(places, place)], [*keep, "entities", "_places"])
 
     span = "array<struct<start: int, end: int>>"
-    found = docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(scan, f"{fields}, {_ENTITIES}, _places array<struct<term: string, start: int, end: int>>")
+    found = docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(scan, f"{schema_of(docs, keep)}, {_ENTITIES}, _places array<struct<term: string, start: int, end: int>>")
     if few:
         return found.select(*keep, "entities", F.transform("_places", lambda w: F.struct(w["start"], w["end"])).cast(span).alias("terms"))
     found = written(found.withColumn("_row", F.monotonically_increasing_id()), "words")
@@ -265,9 +269,7 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", keep: tuple[str,
     """
     keep = list(keep)
     if everywhere:
-        near = written(_scanned(docs, text_col, []).where(F.size("near") > 0), "near")
-        flagged = written(disclosed_terms(near, docs, text_col, **thresholds), "disclosed-terms")
-        return _everywhere(docs, text_col, keep, flagged, thresholds.get("broadcast_terms", BROADCAST_TERMS))
+        return _everywhere(docs, text_col, keep, thresholds)
     found = written(_scanned(docs, text_col, keep).withColumn("_row", F.monotonically_increasing_id()), "entities")
     flagged = written(disclosed_terms(found, docs, text_col, **thresholds), "disclosed-terms")
     near = found.where(F.size("near") > 0).select("_row", F.explode("near").alias("n")).select("_row", "n.term", "n.start", "n.end", F.explode(F.array("n.entity", "n.kind")).alias("entity"))
@@ -296,34 +298,52 @@ def masked(text: str, entities, terms) -> str:
     return "".join([*out, text[end:]])
 
 
-def sanitise(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFrame:
+def sanitise(docs: DataFrame, text_col: str = "text", everywhere: bool = False, **thresholds) -> DataFrame:
     """docs with personal data masked in text_col; a column n_chars of whole numbers follows.
 
     Every row and all columns stay, whatever their names. Null and empty texts stay as they
     are. Rows with null or repeated ids are masked one by one; repeated rows stay equal. An
-    empty table stays empty. thresholds are those of find_personal_data().
+    empty table stays empty. everywhere and thresholds are those of find_personal_data().
     """
     columns = docs.columns
     # plain names meanwhile, so that no column clashes with those of the search
     plain = [f"c{i}" for i in range(len(columns))]
     text, n_chars = plain[columns.index(text_col)], dict(zip(columns, plain)).get("n_chars")
-    found = find_personal_data(docs.toDF(*plain), text, tuple(plain), **thresholds)
+    docs, schema = docs.toDF(*plain), docs.schema
 
-    def mask(batches):
+    def result(batch, entities, terms):
         import pyarrow as pa
 
+        arrays = {c: batch.column(c) for c in plain}
+        if any(entities) or any(terms):
+            texts = [masked(t, e, s) if e or s else t for t, e, s in zip(arrays[text].to_pylist(), entities, terms)]
+            arrays[text] = pa.array(texts, arrays[text].type)
+            if n_chars and pa.types.is_integer(arrays[n_chars].type):
+                arrays[n_chars] = pa.array([len(t) if e or s else n for t, e, s, n in zip(texts, entities, terms, arrays[n_chars].to_pylist())], arrays[n_chars].type)
+        return pa.record_batch(list(arrays.values()), columns)
+
+    if everywhere:
+        _, few, wanted = _disclosed_anywhere(docs, text, thresholds)
+        if few:
+
+            def find_and_mask(batches):
+                only = wanted.value
+                for whole in batches:
+                    for batch in byte_batches(whole, text):
+                        texts = [t or "" for t in batch.column(text).to_pylist()]
+                        found = [find_entities(t) for t in texts]
+                        terms = [_places(t, e, only) for t, e in zip(texts, found)]
+                        yield result(batch, [[{"kind": k, "start": a, "end": b} for k, a, b in e] for e in found], terms)
+
+            # one Python worker a task finds and masks
+            return docs.mapInArrow(find_and_mask, schema)
+
+    def mask(batches):
         for whole in batches:
             for batch in byte_batches(whole, text):
-                arrays = {c: batch.column(c) for c in plain}
-                entities, terms = batch.column("entities").to_pylist(), batch.column("terms").to_pylist()
-                if any(entities) or any(terms):
-                    texts = [masked(t, e, s) if e or s else t for t, e, s in zip(arrays[text].to_pylist(), entities, terms)]
-                    arrays[text] = pa.array(texts, arrays[text].type)
-                    if n_chars and pa.types.is_integer(arrays[n_chars].type):
-                        arrays[n_chars] = pa.array([len(t) if e or s else n for t, e, s, n in zip(texts, entities, terms, arrays[n_chars].to_pylist())], arrays[n_chars].type)
-                yield pa.record_batch(list(arrays.values()), columns)
-
-    return found.mapInArrow(mask, docs.schema)
+                yield result(batch, batch.column("entities").to_pylist(), batch.column("terms").to_pylist())
+
+    return find_personal_data(docs, text, tuple(plain), everywhere, **thresholds).mapInArrow(mask, schema)
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

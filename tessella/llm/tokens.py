@@ -56,7 +56,7 @@ class ChunkEncoder:
     of letters go through it together.
     """
 
-    def __init__(self, path: str, keep_ids: bool):
+    def __init__(self, path: str, keep_ids: bool, remembered: int | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -75,6 +75,7 @@ class ChunkEncoder:
         self.keep_ids = keep_ids
         self.known: dict = {}
         self.held = 0
+        self.bound = remembered or REMEMBERED_BYTES
 
     def encode(self, text: str) -> list:
         """For each chunk its number of ids, or its ids as little-endian uint32 bytes."""
@@ -83,7 +84,7 @@ class ChunkEncoder:
             return [*map(self.known.__getitem__, keys)]
         except KeyError:
             pass
-        if self.held > REMEMBERED_BYTES:
+        if self.held > self.bound:
             # the later half stays; what is frequent is soon there again
             for k in [*islice(self.known, len(self.known) // 2)]:
                 del self.known[k]
@@ -198,9 +199,9 @@ def _kind(spec: dict) -> str:
 
 
 @functools.cache
-def encoder(path: str, keep_ids: bool) -> ChunkEncoder:
-    """One for each worker process and file."""
-    return ChunkEncoder(path, keep_ids)
+def encoder(path: str, keep_ids: bool, remembered: int | None = None) -> ChunkEncoder:
+    """One for each worker process and file; remembered bounds the bytes that it holds."""
+    return ChunkEncoder(path, keep_ids, remembered)
 
 
 def token_counts(
