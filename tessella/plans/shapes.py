@@ -44,7 +44,7 @@ def mask_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 with m as (select l_orderkey as image, l_linenumber as n, l_partkey as a, (l_partkey % 500)::double as x, (l_suppkey * 7 % 400)::double as y, (10 + l_quantity * 4) as w, (8 + l_partkey % 90)::double as h, 1 - l_discount as predicted, 1 - l_tax as stability from lineitem),
 s as (select *, (predicted + stability) * greatest(0.0::double, 1 - 2 * sqrt(((x + w / 2 - 320) / 640) * ((x + w / 2 - 320) / 640) + ((y + h / 2 - 240) / 480) * ((y + h / 2 - 240) / 480))) as score from m where w * h / (640 * 480) between 0.01 and 0.7)
-select image, arg_max(a, (round(score, 9), -n, -a)) as crop, round(max(score), 6) as score, count(*) as candidates from s group by image
+select image, arg_max(a, (round(score, 9), -n, -a)) as crop, round(max(score), 9) as score, count(*) as candidates from s group by image
 """)
 def central_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The most central confident candidate of each image, among those of a plausible area."""
@@ -55,7 +55,7 @@ def central_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).where("w * h / (640 * 480) between 0.01 and 0.7")
     score = geometry.centrality_score(F.col("x"), F.col("y"), F.col("w"), F.col("h"), F.lit(640.0), F.lit(480.0), F.col("predicted"), F.col("stability"))
     m = m.withColumn("score", score)
-    return m.groupBy("image").agg(F.max_by("a", F.struct(F.round("score", 9), -F.col("n"), -F.col("a"))).alias("crop"), F.round(F.max("score"), 6).alias("score"), F.count("*").alias("candidates"))
+    return m.groupBy("image").agg(F.max_by("a", F.struct(F.round("score", 9), -F.col("n"), -F.col("a"))).alias("crop"), F.round(F.max("score"), 9).alias("score"), F.count("*").alias("candidates"))
 
 
 @query("""
