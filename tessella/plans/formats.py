@@ -30,6 +30,22 @@ def _array_file(df: DataFrame, columns: list[str], path: str, by: str) -> str:
     return _text(rows, F.concat(F.lit("[\n"), "rows", F.lit("\n]\n")), path, by)
 
 
+#: Rows of one COCO document, which a task holds whole when it is written or read.
+_DOCUMENT_ROWS = 50_000
+
+
+def _coco_files(images: DataFrame, annotations: DataFrame, categories: Column, path: str, by: str) -> str:
+    """COCO files of the rows' structs (images: by, image; annotations: by, annotation), as many
+    for each value of by as keep a file to about _DOCUMENT_ROWS. Rows are dealt by their ids, so
+    neither a frequent value of by nor an image of many annotations makes a file longer."""
+    parts = max(1, -(-(images.count() + annotations.count()) // _DOCUMENT_ROWS))
+    deal = lambda c: F.pmod(F.xxhash64(f"{c}.id"), F.lit(parts)).alias("part")
+    both = images.select(by, deal("image"), "image").unionByName(annotations.select(by, deal("annotation"), "annotation"), allowMissingColumns=True)
+    whole = both.repartition(parts, by, "part").groupBy(by, "part").agg(F.collect_list("image").alias("images"), F.collect_list("annotation").alias("annotations"))
+    whole.select(F.to_json(F.struct("images", "annotations", categories.alias("categories"))).alias("value"), by).write.option("maxRecordsPerFile", 1).partitionBy(by).text(path)
+    return path
+
+
 @query("select o_orderpriority as shard, count(*) as images, round(sum(o_totalprice), 2) as price, count(distinct o_custkey) as backgrounds from orders group by 1")
 def shard_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON Lines of several shards through a glob, blank lines between rows, shard from the path."""
@@ -84,7 +100,8 @@ g as (select id, segment, name, count(*) as boxes, count(*) filter (category <=
 @query(_COCO_SQL + " select segment, count(*) as images, sum(boxes)::bigint as boxes, sum(hits)::bigint as hits from g where hits >= 2 and name like 'Customer#0000000%' group by segment")
 def coco_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Images with at least two wanted objects from COCO files: unknown categories dropped,
-    images without a file dropped, file names guarded by a prefix, files listed as ids."""
+    images without a file dropped, file names guarded by a prefix, files listed as ids. A segment is an inventory
+    of as many files as its rows need."""
     path = new_path(spark, "coco")
     customer = table(spark, sf_dir, "customer")
     image = F.struct(F.col("c_custkey").alias("id"), F.concat("c_name", F.lit(".jpg")).alias("file_name"), F.lit(100).alias("width"), F.lit(100).alias("height"))
@@ -92,13 +109,11 @@ def coco_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     box = F.array(F.lit(1.5), F.lit(2.0), F.col("o_totalprice") % 50, F.lit(4.0))
     annotation = F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("image_id"), F.substring("o_orderpriority", 1, 1).cast("int").alias("category_id"), box.alias("bbox"))
     names = F.array(*(F.struct(F.lit(i).alias("id"), F.lit(n).alias("name")) for i, n in ((1, "airplane"), (2, "plane"), (3, "ship"), (4, "car"))))
-    whole = customer.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.collect_list(image).alias("images")).join(orders.groupBy("segment").agg(F.collect_list(annotation).alias("annotations")), "segment")
-    _text(whole, F.to_json(F.struct("images", "annotations", names.alias("categories"))), path, "segment")
+    _coco_files(customer.select(F.col("c_mktsegment").alias("segment"), image.alias("image")), orders.select("segment", annotation.alias("annotation")), names, path, "segment")
     _text(customer.where("c_custkey % 10 <> 3"), F.concat("c_name", F.lit(".jpg")), f"{path}-files")
     files = readers.id_list(spark, f"{path}-files", "file_name")
-    found = readers.boxed_images(*readers.coco(spark, f"{path}/*"), ["airplane", "plane"], 2, files, "Customer#0000000")
-    segment = F.url_decode(F.regexp_extract("file", r"/segment=([^/]+)/", 1)).alias("segment")
-    return found.groupBy(segment).agg(F.count("*").alias("images"), F.sum("boxes").alias("boxes"), F.sum("hits").alias("hits"))
+    found = readers.boxed_images(*readers.coco(spark, f"{path}/*", r"/segment=([^/]+)/"), ["airplane", "plane"], 2, files, "Customer#0000000")
+    return found.groupBy(F.url_decode("file").alias("segment")).agg(F.count("*").alias("images"), F.sum("boxes").alias("boxes"), F.sum("hits").alias("hits"))
 
 
 _POINT_SQL = "least(greatest(((p_partkey * {k}) % 104 - 2)::float / 100::float, 0::float), 1::float)::double"

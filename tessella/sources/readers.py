@@ -53,9 +53,13 @@ _COCO = (
 )
 
 
-def coco(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(images, annotations, categories) of COCO files; `file` tells files apart, as ids are a file's own."""
-    whole = json_array(spark, path, _COCO).withColumn("file", F.col("_metadata.file_path"))
+def coco(spark: SparkSession, path: str, inventory: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(images, annotations, categories) of COCO files; `file` tells files apart, as ids are a
+    file's own. With inventory, a pattern whose group names what ids belong to, `file` is that:
+    an inventory in several files, where an image's annotations may be in any of them.
+
+    A task holds one file at a time, so a large inventory should come in several."""
+    whole = json_array(spark, path, _COCO).withColumn("file", file_part(inventory) if inventory else F.col("_metadata.file_path"))
     return tuple(whole.select("file", F.inline(c)) for c in ("images", "annotations", "categories"))
 
 
@@ -66,7 +70,9 @@ def boxed_images(images: DataFrame, annotations: DataFrame, categories: DataFram
     hits those of a wanted category. files (file_name) are those that exist; prefix is
     what names must start with.
     """
-    named = annotations.join(F.broadcast(categories.select("file", F.col("id").alias("category_id"), "name")), ["file", "category_id"])
+    # each file of an inventory repeats its categories
+    known = categories.select("file", F.col("id").alias("category_id"), "name").distinct()
+    named = annotations.join(F.broadcast(known), ["file", "category_id"])
     per_image = named.groupBy("file", F.col("image_id").alias("id")).agg(F.count("*").alias("boxes"), F.count_if(F.col("name").isin(wanted)).alias("hits"))
     images = images.where(F.startswith("file_name", F.lit(prefix)))
     if files is not None:

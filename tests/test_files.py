@@ -8,6 +8,7 @@ from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
 from pyspark.sql import functions as F
+from tessella.plans import catalog, formats
 from tessella.sources import readers, sinks
 from tessella.streaming.watch import kept_in_memory, wait_for
 
@@ -30,6 +31,33 @@ def test_json_lines(spark, tmp_path):
         bad.collect()
 
 
+def test_an_inventory_in_several_coco_files(spark, tmp_path):
+    names = [{"id": 1, "name": "plane"}, {"id": 2, "name": "ship"}]
+    image = lambda i: {"id": i, "file_name": f"{i}.jpg", "width": 9, "height": 9}
+    box = lambda i, of, c: {"id": i, "image_id": of, "category_id": c, "bbox": [1, 2, 3, 4]}
+    write(tmp_path / "at=a/1.json", json.dumps({"images": [image(1)], "annotations": [box(1, 1, 1), box(2, 2, 2)], "categories": names}))
+    write(tmp_path / "at=a/2.json", json.dumps({"images": [image(2)], "annotations": [box(3, 1, 1), box(4, 1, 2), box(5, 1, 3)], "categories": names}))
+    write(tmp_path / "at=b/1.json", json.dumps({"annotations": [box(1, 1, 1)], "images": [image(1)], "categories": names}))
+    found = lambda *at: sorted((r.file[-1], r.id, r.boxes, r.hits) for r in readers.boxed_images(*readers.coco(spark, f"{tmp_path}/*", *at), ["plane"], 1).collect())
+    assert found(r"/at=([^/]+)/") == [("a", 1, 3, 2), ("b", 1, 1, 1)]
+    assert found() == [("n", 1, 1, 1)] * 2  # ids that are a file's own
+
+
+def test_a_coco_file_holds_few_rows_of_a_frequent_segment_and_image(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(formats, "_DOCUMENT_ROWS", 40, raising=False)
+    monkeypatch.setattr(formats, "new_path", lambda spark, name: f"{tmp_path}/{name}")
+    spark.range(95).selectExpr("id as c_custkey", "printf('Customer#%09d', id) as c_name", "'A B' as c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    orders = spark.range(900).selectExpr("id as o_orderkey", "if(id < 500, 7, id % 95) as o_custkey", "concat(1 + id % 5, '-X') as o_orderpriority", "id * 1.5d as o_totalprice")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    found = catalog.queries()["coco_inventory"](spark, str(tmp_path)).collect()
+    kept = [(o.o_custkey, int(o.o_orderpriority[0])) for o in orders.collect() if o.o_custkey % 10 != 3 and o.o_orderpriority[0] != "5"]
+    images = [i for i in range(95) if sum(k == i and c <= 2 for k, c in kept) >= 2]
+    assert list(map(tuple, found)) == [("A B", len(images), sum(k in images for k, _ in kept), sum(k in images and c <= 2 for k, c in kept))]
+    documents = [json.loads(p.read_text()) for p in (tmp_path / "coco").rglob("part-*")]
+    assert sum(len(d["images"]) for d in documents) == 95 and sum(len(d["annotations"]) for d in documents) == 900
+    assert max(len(d["images"]) + len(d["annotations"]) for d in documents) <= 80
+
+
 def test_label_policies(spark, tmp_path):
     good = "3 " + " ".join(["0.5"] * 7) + " 1.04"
     path = write(tmp_path / "labels/im1/l.txt", f"{good}\n\n{good}  \n")
