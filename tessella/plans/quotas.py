@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.operators.folds import least_used_rotation
+from tessella.operators.nearest import least_jittered
 from tessella.plans.ranking import _UNIFORM_SQL, uniform
 from tessella.plans.registry import query, table
 
@@ -153,11 +154,14 @@ g as (select host, spot, score, score + 1.5 * u as jittered, count(*) over (part
 select host, spot, round(score, 6) as score, options from g where k = 1
 """)
 def jittered_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each host's passing spot of least score, scores varied by a hash-derived draw."""
+    """Each host's passing spot of least score, scores varied by a hash-derived draw. Spots
+    that can't win are counted by blocks and never drawn for."""
     c, s = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
-    o = c.join(s, F.col("s_nationkey") == F.col("c_nationkey")).select(F.col("c_custkey").alias("host"), F.col("s_suppkey").alias("spot"), (F.abs(F.col("c_acctbal") - F.col("s_acctbal")) / 100).alias("score"))
-    key = F.struct((F.col("score") + 1.5 * uniform(F.lit("jitter"), F.col("host").cast("string"), F.col("spot").cast("string"))).alias("j"), "spot", "score")
-    return o.where("score <= 60").groupBy("host").agg(F.min(key).alias("b"), F.count("*").alias("options")).select("host", F.col("b.spot").alias("spot"), F.round("b.score", 6).alias("score"), "options")
+    hosts = c.select(F.col("c_custkey").alias("host"), F.col("c_nationkey").alias("group"), F.col("c_acctbal").alias("at"))
+    spots = s.select(F.col("s_suppkey").alias("spot"), F.col("s_nationkey").alias("group"), F.col("s_acctbal").alias("at"))
+    draw = lambda host, spot: uniform(F.lit("jitter"), host.cast("string"), spot.cast("string"))
+    best = least_jittered(hosts, spots, draw, scale=100, width=1.5, limit=60)
+    return best.select("host", "spot", F.round("score", 6).alias("score"), "options")
 
 
 @query("select p_partkey as id, 1 + (p_partkey % 6) as cycle_class, case when (p_partkey + 1) % 5 = 1 then 'fixed' else 'innar_train' end as source, 20260928 + 7 * (p_partkey % 6) as shard_seed, round((('0x' || substr(sha256(concat_ws('|', 20260928 + 7 * (p_partkey % 6), p_partkey)), 1, 8))::bigint / 4294967296.0::double), 9) as draw from part")

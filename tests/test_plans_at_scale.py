@@ -1,14 +1,20 @@
 """Operators whose plans bound what one task holds, against plain answers on small inputs."""
 
+import hashlib
+import math
 import random
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tessella.operators.contained import containing
 from tessella.operators.folds import least_used_rotation
 from tessella.operators.hamming import hamming_pairs
+from tessella.operators.nearest import least_jittered
 from tessella.operators.ordering import exact_quantiles, with_position
+from tessella.plans import catalog
+from tessella.plans.ranking import uniform
 
 
 @pytest.mark.parametrize("most,block", [(4, 100), (12, 7), (12, 4000), (30, 10)])
@@ -69,3 +75,54 @@ def test_least_used_rotation_is_the_plain_loop(spark):
                         used[key[1], base] += 1
                         chosen.append(i)
             assert found[c] == chosen
+
+
+def drawn(*parts):
+    return int(hashlib.sha256("|".join(map(str, parts)).encode()).hexdigest()[:8], 16) / 4294967296
+
+
+@pytest.mark.parametrize("rows_per_block", [1, 3, 32])
+def test_least_jittered_is_the_best_of_all_pairs(spark, rows_per_block):
+    rng = random.Random(rows_per_block)
+    odd = [None, math.nan, math.inf, -math.inf, -0.0, 1e15]
+    # copies, a crowd at one place, hosts at the very limit and just beyond it, gaps with a crowd behind
+    spots = [(i, g, rng.choice([7.25, 50.5, round(rng.uniform(-1000, 10000), 2)])) for i in range(150) for g in [rng.choice([1, 2])]]
+    spots += [(900 + i, 3, 0.01) for i in range(70)] + [(980, 4, 100.0), (981, None, 1.0), (5, 1, 7.25), (5, 1, 7.25)] + [(990 + i, 2, v) for i, v in enumerate(odd)]
+    hosts = [(i, rng.choice([1, 2]), round(rng.uniform(-1000, 10000), 2)) for i in range(120)] + [(200 + i, 3, v) for i, v in enumerate([6000.01, 6000.0100000000002, 6000.02, -5999.99, 0.01, 3000.0])]
+    hosts += [(300, 4, 6100.0), (301, 4, 6100.01), (302, 5, 1.0), (303, None, 1.0), (0, 1, 40.0), (0, 1, 40.0), (0, 2, 9000.0)] + [(310 + i, 2, v) for i, v in enumerate(odd)]
+    every = {}
+    for h, g, a in hosts:
+        for s, k, b in spots:
+            if g is not None and g == k and a is not None and b is not None and abs(a - b) / 100 <= 60:
+                every.setdefault(h, []).append((abs(a - b) / 100 + 1.5 * drawn("jitter", h, s), s, abs(a - b) / 100))
+    frames = (spark.createDataFrame(rows, schema).repartition(3) for rows, schema in ((hosts, "host long, group int, at double"), (spots, "spot long, group int, at double")))
+    draw = lambda host, spot: uniform(F.lit("jitter"), host.cast("string"), spot.cast("string"))
+    found = least_jittered(*frames, draw, 100, 1.5, 60, rows_per_block).collect()
+    assert sorted(map(tuple, found)) == sorted((h, *min(o)[1:], len(o)) for h, o in every.items())
+
+
+def joined_rows(spark, since):
+    """Rows that joins made in the SQL executions from number `since` on."""
+    store, total = spark._jsparkSession.sharedState().statusStore(), 0
+    for k in range(since, store.executionsCount()):
+        e = store.executionsList().apply(k).executionId()
+        values, nodes = store.executionMetrics(e), store.planGraph(e).allNodes()
+        for node in (nodes.apply(i) for i in range(nodes.size())):
+            for m in (node.metrics().apply(i) for i in range(node.metrics().size())):
+                if "Join" in node.name() and m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                    total += int(values.apply(m.accumulatorId()).replace(",", ""))
+    return total
+
+
+def test_jittered_choice_doesnt_pair_all_hosts_and_spots(spark, tmp_path):
+    n = 3000
+    balance = "(id * 7919 % 10007) / 1d"
+    spark.range(n).selectExpr("id as c_custkey", "1 as c_nationkey", f"{balance} as c_acctbal").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(n).selectExpr("id as s_suppkey", "1 as s_nationkey", f"{balance} + 0.5 as s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
+    since = spark._jsparkSession.sharedState().statusStore().executionsCount()
+    found = catalog.queries()["jittered_choice"](spark, str(tmp_path)).collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    at = np.arange(n) * 7919 % 10007
+    assert len(found) == n and all(r.options == np.count_nonzero(np.abs(at[r.host] - at - 0.5) <= 6000) for r in found)
+    # a row of the new joins holds a block of 32 spots
+    assert n < 32 * joined_rows(spark, since) < n * n / 10
