@@ -14,6 +14,9 @@ from tessella.sources.shared import written
 #: More than what rounding moves a sum or a difference by, as a share of its terms.
 _SLACK = 1e-12
 
+#: Looks that a Python worker makes at once, about.
+_AT_ONCE = 100_000
+
 
 def least_jittered(hosts: DataFrame, spots: DataFrame, draw: Callable[[Column, Column], Column], scale: float, width: float, limit: float, rows_per_block: int = 32) -> DataFrame:
     """(host, spot, score, options): of the spots of a host's group with score <= limit, the one
@@ -27,7 +30,7 @@ def least_jittered(hosts: DataFrame, spots: DataFrame, draw: Callable[[Column, C
     is nearest. Its best there bounds the scores that can still win, so further blocks are
     tried only up to that score: in dense groups few draws a host are made, however
     many spots pass. Options are counted by whole blocks; spots are compared only in
-    those where the limit falls.
+    those where the limit falls. Spots at equal distance all have to be drawn for.
     """
     finite = F.col("group").isNotNull() & (F.abs("at") < float("inf"))
     spots = spots.where(finite).select("group", "at", "spot")
@@ -95,6 +98,11 @@ def _spans(places: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.n
     return np.repeat(places, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - start, n)
 
 
+def _pieces(n: np.ndarray) -> list[np.ndarray]:
+    """Runs of places whose n add up to about _AT_ONCE."""
+    return np.split(np.arange(len(n)), np.flatnonzero(np.diff(np.cumsum(n) // _AT_ONCE)) + 1)
+
+
 def _with(batch, places: np.ndarray, **columns):
     import pyarrow as pa
 
@@ -115,12 +123,14 @@ def _looks(bounds: dict, reach: float):
                 last, none = np.searchsorted(most, at + reach - slack, "right"), np.searchsorted(least, at + reach + slack, "right")
                 last = np.maximum(all_, last)
                 inside = before[last] - before[all_]
-                (a, low), (b, high) = _spans(own, some, all_), _spans(own, last, none)
-                ends = len(a) + len(b)
-                yield _with(
-                    batch, np.concatenate([own, a, b]), block=np.concatenate([np.searchsorted(half, at), low, high]),
-                    near=np.repeat([True, False], [len(own), ends]), inside=np.concatenate([inside, np.zeros(ends, np.int64)]),
-                )
+                near = np.searchsorted(half, at)
+                for p in _pieces(1 + all_ - some + none - last):
+                    (a, low), (b, high) = _spans(own[p], some[p], all_[p]), _spans(own[p], last[p], none[p])
+                    ends = len(a) + len(b)
+                    yield _with(
+                        batch, np.concatenate([own[p], a, b]), block=np.concatenate([near[p], low, high]),
+                        near=np.repeat([True, False], [len(p), ends]), inside=np.concatenate([inside[p], np.zeros(ends, np.int64)]),
+                    )
 
     return look
 
@@ -136,7 +146,8 @@ def _further(bounds: dict, scale: float):
                 reach += (np.abs(at) + reach) * _SLACK
                 near = np.searchsorted(half, at)
                 start, end = np.searchsorted(most, at - reach, "left"), np.searchsorted(least, at + reach, "right")
-                (a, low), (b, high) = _spans(own, start, np.minimum(near, end)), _spans(own, np.maximum(near + 1, start), end)
-                yield _with(batch, np.concatenate([a, b]), block=np.concatenate([low, high]))
+                for p in _pieces(end - start):
+                    (a, low), (b, high) = _spans(own[p], start[p], np.minimum(near, end)[p]), _spans(own[p], np.maximum(near + 1, start)[p], end[p])
+                    yield _with(batch, np.concatenate([a, b]), block=np.concatenate([low, high]))
 
     return look

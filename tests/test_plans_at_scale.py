@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessella.operators.contained import containing
 from tessella.operators.folds import least_used_rotation
 from tessella.operators.hamming import hamming_pairs
-from tessella.operators.nearest import least_jittered
+from tessella.operators.nearest import _bounds, _further, _looks, least_jittered
 from tessella.operators.ordering import exact_quantiles, with_position
 from tessella.plans import catalog
 from tessella.plans.ranking import uniform
@@ -101,6 +101,20 @@ def test_least_jittered_is_the_best_of_all_pairs(spark, rows_per_block):
     assert sorted(map(tuple, found)) == sorted((h, *min(o)[1:], len(o)) for h, o in every.items())
 
 
+def test_looks_into_many_equal_blocks_leave_in_small_batches(spark):
+    import pyarrow as pa
+
+    rows = [(1, k, 5.0, 5.0, 32) for k in range(2_000)] + [(1, 2_000, 90.0, 95.0, 32)]
+    bounds = _bounds(spark.createDataFrame(rows, "group int, block long, least double, most double, n long"))
+    hosts = pa.record_batch({"group": [1] * 300, "at": [5.0 + i / 1000 for i in range(300)], "bound": [2.0] * 300})
+    # each host has all equal blocks to look into but the nearest, and where the limit falls on them, all
+    found = list(_further(bounds, 1.0)([hosts]))
+    assert sum(map(len, found)) == 300 * 1_999 and max(map(len, found)) <= 102_000
+    at_limit = pa.record_batch({"group": [1] * 300, "at": [15.0] * 300})
+    found = list(_looks(bounds, 10.0)([at_limit]))
+    assert sum(map(len, found)) == 300 * 2_001 and max(map(len, found)) <= 103_000
+
+
 def joined_rows(spark, since):
     """Rows that joins made in the SQL executions from number `since` on."""
     store, total = spark._jsparkSession.sharedState().statusStore(), 0
